@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caremill.operators.history import valid_at
@@ -15,31 +17,32 @@ def join_covering(
     at: str,
     start: str,
     end: str,
+    since: date,
+    until: date,
     slice_days: int = 366,
 ) -> DataFrame:
     """``rows`` left-joined to all ``periods`` of the same key with start <= at < end (NULL end: open).
 
     Key and date range alone would compare each row with every period of its key. So time is cut
-    into slices: a period is listed once for each slice it touches (only slices that have rows),
-    and the join is on (key, slice) with the exact range checked behind it. A key with a third of
-    all rows becomes as many join keys as there are slices, which adaptive execution can split
-    further. ``start`` and ``end`` are taken from ``periods`` and are not in the result.
+    into slices: a period is listed once for each slice it touches, and the join is on (key,
+    slice) with the exact range checked behind it. A key with a third of all rows becomes as many
+    join keys as there are slices, which adaptive execution can split further.
+
+    ``since`` and ``until`` say where most rows lie. What comes before or after falls into the
+    first or last slice, so they bound the copies of a period and never change the result.
+    ``start`` and ``end`` are not in the result.
     """
 
-    def slice_of(column):
-        return F.floor(F.datediff(column, F.lit("1970-01-01").cast("date")) / slice_days)
+    def slice_of(column: Column) -> Column:
+        clamped = F.least(F.greatest(column, F.lit(since)), F.lit(until))
+        return F.floor(F.datediff(clamped, F.lit(since)) / slice_days)
 
-    reach = rows.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    first, last = reach.select("lo").scalar(), reach.select("hi").scalar()
-    # An empty or inverted period covers nothing, and neither does one outside the rows' reach.
-    begin = F.greatest(F.col(start), first)
-    finish = F.least(F.coalesce(F.date_sub(F.col(end), 1), last), last)
+    # An empty or inverted period covers nothing. An open one reaches the last slice.
+    last_day = F.coalesce(F.date_sub(F.col(end), 1), F.greatest(F.col(start), F.lit(until)))
     sliced = (
-        periods.withColumns({"_begin": begin, "_finish": finish})
-        .filter(F.col("_begin") <= F.col("_finish"))
-        .withColumn("_slice", F.explode(F.sequence(slice_of(F.col("_begin")), slice_of(F.col("_finish")))))
+        periods.filter(F.col(start) <= last_day)
+        .withColumn("_slice", F.explode(F.sequence(slice_of(F.col(start)), slice_of(last_day))))
         .withColumnsRenamed({key: "_key", "_slice": "_period_slice", start: "_start", end: "_end"})
-        .drop("_begin", "_finish")
     )
     sliced_rows = rows.withColumn("_row_slice", slice_of(F.col(at)))
     covering = (

@@ -12,20 +12,21 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from caremill.operators.skew import HotKeys, find_hot_keys
 from caremill.session import durable
 
 CHUNK = "_chunk"
+COPY = "_copy"
 
 
 class OrderedRows:
     """Rows of ``df`` in ascending ``order`` (NULLs last) within each key.
 
-    ``order`` should end in something unique per key: results of ties are arbitrary otherwise,
-    and ties cannot be split over chunks.
+    ``order`` should end in something unique per key, or in all columns that matter: which of two
+    tied rows comes first is arbitrary.
     """
 
     def __init__(
@@ -52,12 +53,14 @@ class OrderedRows:
             self._plain = df.join(listed, same, "left_anti")
             big = df.join(listed, same, "left_semi")
         chunks = 1 + ceil(hot.rows / hot.rows_per_task)
-        # The chunk number must be the same each time it is read, hence the checkpoint.
-        self._chunked = durable(
-            big.repartitionByRange(
-                chunks, *[F.col(k) for k in self.keys], *self._ordering()
-            ).withColumn(CHUNK, F.spark_partition_id())
+        # Copies of one row cannot be told apart, so they get a number to split them by. Both the
+        # number and the chunk must stay the same however often they are read or recomputed,
+        # hence the checkpoints.
+        told_apart = durable(big.withColumn(COPY, F.monotonically_increasing_id()))
+        split = told_apart.repartitionByRange(
+            chunks, *[F.col(k) for k in self.keys], *self._ordering(), F.col(COPY)
         )
+        self._chunked = durable(split.withColumn(CHUNK, F.spark_partition_id()))
 
     def _ordering(self) -> list[Column]:
         return [F.col(name).asc_nulls_last() for name in self.order]
@@ -84,8 +87,7 @@ class OrderedRows:
         number from 1, and whether a row is the last of its key."""
         previous, following = dict(previous or {}), dict(following or {})
 
-        def window_columns(partition: list[str]) -> dict[str, Column]:
-            w = Window.partitionBy(*partition).orderBy(*self._ordering())
+        def window_columns(w: WindowSpec) -> dict[str, Column]:
             columns = {new: F.lag(source).over(w) for new, source in previous.items()}
             columns |= {new: F.lead(source).over(w) for new, source in following.items()}
             if number:
@@ -95,10 +97,10 @@ class OrderedRows:
             return columns
 
         def plain(df: DataFrame) -> DataFrame:
-            return df.withColumns(window_columns(self.keys))
+            return df.withColumns(window_columns(self._in_key()))
 
         def chunked(df: DataFrame) -> DataFrame:
-            w = Window.partitionBy(*self.keys, CHUNK).orderBy(*self._ordering())
+            w = self._in_chunk()
             position = self._position()
             edges = df.groupBy(*self.keys, CHUNK).agg(
                 F.count(F.lit(1)).alias("_rows"),
@@ -115,7 +117,7 @@ class OrderedRows:
                 F.lead("_head").over(by_chunk).alias("_head_after"),
             )
             local = df.withColumns(
-                window_columns([*self.keys, CHUNK])
+                window_columns(w)
                 | {"_first_here": F.row_number().over(w) == 1, "_last_here": F.lead(F.lit(True)).over(w).isNull()}
             )
             joined = self._join_edges(local, edges)
@@ -140,23 +142,28 @@ class OrderedRows:
     def running_sum(self, name: str, of: str) -> OrderedRows:
         """Add the sum of a column over the rows up to and including each row."""
 
-        def total(partition: list[str]) -> Column:
-            w = Window.partitionBy(*partition).orderBy(*self._ordering())
+        def total(w: WindowSpec) -> Column:
             return F.sum(of).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
         def chunked(df: DataFrame) -> DataFrame:
             sums = df.groupBy(*self.keys, CHUNK).agg(F.sum(of).alias("_sum"))
             earlier = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
             edges = sums.select(*self.keys, CHUNK, F.sum("_sum").over(earlier).alias("_sum_before"))
-            joined = self._join_edges(df.withColumn(name, total([*self.keys, CHUNK])), edges)
+            joined = self._join_edges(df.withColumn(name, total(self._in_chunk())), edges)
             return joined.withColumn(
                 name, F.coalesce(F.col(name) + F.col("_sum_before"), F.col(name), F.col("_sum_before"))
             ).drop("_sum_before")
 
-        return self._each(lambda df: df.withColumn(name, total(self.keys)), chunked)
+        return self._each(lambda df: df.withColumn(name, total(self._in_key())), chunked)
+
+    def _in_key(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy(*self._ordering())
+
+    def _in_chunk(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys, CHUNK).orderBy(*self._ordering(), COPY)
 
     def _position(self) -> Column:
-        parts = [part for name in self.order for part in (F.col(name).isNull(), F.col(name))]
+        parts = [part for name in (*self.order, COPY) for part in (F.col(name).isNull(), F.col(name))]
         return F.struct(*[part.alias(f"p{i}") for i, part in enumerate(parts)])
 
     def _join_edges(self, rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -174,5 +181,5 @@ class OrderedRows:
     def frame(self) -> DataFrame:
         if self._chunked is None:
             return self._plain
-        chunked = self._chunked.drop(CHUNK)
+        chunked = self._chunked.drop(CHUNK, COPY)
         return chunked if self._plain is None else self._plain.unionByName(chunked)

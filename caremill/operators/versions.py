@@ -50,7 +50,8 @@ def merge_by_key(target: DataFrame, delta: DataFrame, keys: list[str], cursor: s
     keys are few enough for Spark to broadcast them.
     """
     newest = latest_per_key(delta, keys, cursor)
-    return target.join(delta.select(*keys), keys, "left_anti").select(*target.columns).unionByName(newest)
+    kept = target.join(delta.select(*keys).distinct(), keys, "left_anti")
+    return kept.select(*target.columns).unionByName(newest)
 
 
 def append_after(target: DataFrame, source: DataFrame, cursor: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +38,14 @@ def payer_periods(transitions: DataFrame, gap_days: int = GAP_DAYS, hot: HotKeys
     )
 
 
-def mart_clinical_encounters(encounters: DataFrame, patients: DataFrame, periods: DataFrame) -> DataFrame:
+def mart_clinical_encounters(
+    encounters: DataFrame, patients: DataFrame, periods: DataFrame, as_of: date, years: int = 30
+) -> DataFrame:
     """Visits with de-identified patient attributes and the payer in force on the day.
 
     Cover comes from folded periods: yearly rows would match many times. The lifetime amounts of
-    a patient stay out, as they do not add up over visits.
+    a patient stay out, as they do not add up over visits. Most visits are expected in the
+    ``years`` before ``as_of``; others are matched as well.
     """
     people = patients.select(
         "patient_id", "age_band", "gender", "race", "ethnicity", "marital_status", "state", "zip3"
@@ -49,7 +54,14 @@ def mart_clinical_encounters(encounters: DataFrame, patients: DataFrame, periods
         "patient_id", F.col("payer_id").alias("coverage_payer_id"), "payer_period_key", "valid_from", "valid_to"
     )
     covered = join_covering(
-        encounters.join(people, "patient_id", "left"), cover, "patient_id", "encounter_date", "valid_from", "valid_to"
+        encounters.join(people, "patient_id", "left"),
+        cover,
+        "patient_id",
+        "encounter_date",
+        "valid_from",
+        "valid_to",
+        since=as_of - timedelta(days=366 * years),
+        until=as_of,
     )
     return covered.select(
         "encounter_id",

@@ -142,7 +142,9 @@ class Models:
 
     @cached_property
     def clinical_encounters(self) -> DataFrame:
-        return clinical.mart_clinical_encounters(self.encounters, self.clinical_patients, self.payer_periods)
+        return clinical.mart_clinical_encounters(
+            self.encounters, self.clinical_patients, self.payer_periods, self.as_of
+        )
 
     @cached_property
     def plan_mix(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,6 @@ def _columns(spark: SparkSession, files: DataFrame, folder: str) -> set[str]:
     reader = spark.read.option("pathGlobFilter", "*.parquet")
     try:
         return set(reader.option("mergeSchema", True).parquet(folder).columns)
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         paths = files.filter(F.col("folder") == folder).select("path").toLocalIterator()
         return {column for row in paths for column in spark.read.parquet(row["path"]).columns}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from caremill.functions.values import lookup
 from caremill.operators.ordered import OrderedRows
 from caremill.operators.skew import HotKeys, find_hot_keys
+from caremill.session import spread
 from caremill.sources.landing import stamp
 
 # "Today" of the entities whose dates come from orders, and of those whose dates come from events.
@@ -91,7 +92,7 @@ class RawTables:
         return stamp(raw, LOADED_AT)
 
     def _lines(self) -> DataFrame:
-        lines = self.given("lineitem").withColumn(
+        lines = spread(self.given("lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").withColumn(
             "line_id",
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date")),
         )

@@ -7,11 +7,14 @@ its retry overwrites what it left behind. One writer per table is assumed.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caremill.operators.versions import EPOCH, cursor_of, merge_by_key, rows_after, snapshot
+from caremill.session import durable
 
 
 def current_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
@@ -91,7 +94,7 @@ def refresh_partitions(
         return True
     target = spark.table(table)
     delta = rows_after(source, cursor, _last_value(target, cursor), lookback_days).select(*target.columns)
-    old_places = target.join(delta.select(*keys), keys, "left_semi").select(partition)
+    old_places = target.join(delta.select(*keys).distinct(), keys, "left_semi").select(partition)
     # Distinct partition values: as many as there are folders.
     touched = [row[0] for row in delta.select(partition).union(old_places).distinct().collect()]
     if not touched:
@@ -99,11 +102,26 @@ def refresh_partitions(
     here = F.col(partition).isin([v for v in touched if v is not None])
     if None in touched:
         here = here | F.col(partition).isNull()
-    merged = merge_by_key(target.filter(F.coalesce(here, F.lit(False))), delta, keys, cursor)
+    # Spark cannot overwrite what it still reads, so the new rows are made durable first.
+    merged = durable(merge_by_key(target.filter(F.coalesce(here, F.lit(False))), delta, keys, cursor))
     filled = {row[0] for row in merged.select(partition).distinct().collect()}
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _only_written_partitions(spark):
+        merged.write.mode("overwrite").insertInto(table)
     for value in set(touched) - filled:
         # All rows of this partition have moved elsewhere.
         literal = "NULL" if value is None else f"'{value}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {literal})")
     return True
+
+
+@contextmanager
+def _only_written_partitions(spark: SparkSession):
+    """Overwriting a table replaces the partitions that are written and keeps the others. A saved
+    table does not take this as an option of the write, only as a setting."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

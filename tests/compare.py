@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 import os
 from collections import Counter
@@ -62,3 +64,11 @@ def difference(df, con, sql: str) -> str | None:
             f"  there {sorted(map(str, missing))[:2]}"
         )
     return None
+
+
+def plan_of(df, mode: str = "simple") -> str:
+    """The physical plan as ``explain`` prints it."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode=mode)
+    return text.getvalue()
