@@ -33,13 +33,14 @@ def rows_after(source: DataFrame, cursor: str, last_value: Column, lookback_days
     return source.filter(column > since)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], cursor: str) -> DataFrame:
-    """The row with the highest cursor per key. Spark prunes each task's rows to the best one of
+def latest_per_key(df: DataFrame, keys: list[str], cursor: str, first: str | None = None) -> DataFrame:
+    """The row with the highest cursor per key (or with the highest ``first``, then cursor). Spark prunes each task's rows to the best one of
     a key before the shuffle, so many copies of one key stay cheap."""
-    w = Window.partitionBy(*keys).orderBy(
-        F.col(cursor).cast(TIMESTAMP).desc_nulls_last(),
-        *[F.col(c).desc_nulls_last() for c in df.columns if c not in keys and c != cursor],
-    )
+    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in (*keys, cursor, first)]
+    order = [F.col(cursor).cast(TIMESTAMP).desc_nulls_last(), *rest]
+    if first:
+        order.insert(0, F.col(first).desc_nulls_last())
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 

@@ -26,15 +26,13 @@ def _held(appointments: DataFrame) -> DataFrame:
 
 def overview(dim_patients: DataFrame, mrr_daily: DataFrame, appointments: DataFrame, marketing: DataFrame) -> DataFrame:
     """One row of headline numbers, each a scalar subquery over its own table."""
-    latest = mrr_daily.agg(
-        F.max_by(F.struct("active_subscriptions", "mrr", "arr"), "calendar_date").alias("v")
-    ).select("v.*")
+    latest = mrr_daily.agg(F.max_by(F.struct("active_subscriptions", "mrr", "arr"), "calendar_date")).scalar()
     spend = F.sum(F.col("total_spend").cast("decimal(18,2)"))
     return dim_patients.agg(_rows().alias("total_patients")).select(
         "total_patients",
-        latest.select("active_subscriptions").scalar().alias("active_subs"),
-        latest.select("mrr").scalar().alias("mrr"),
-        latest.select("arr").scalar().alias("arr"),
+        latest["active_subscriptions"].alias("active_subs"),
+        latest["mrr"].alias("mrr"),
+        latest["arr"].alias("arr"),
         _held(appointments).agg(share(F.count_if("is_no_show"), _rows())).scalar().alias("no_show_rate"),
         marketing.agg(share(spend, F.sum("signups"))).scalar().alias("blended_cac"),
     )

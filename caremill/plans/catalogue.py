@@ -284,7 +284,7 @@ def sync_replace(spark: SparkSession, folder: str) -> DataFrame:
     providers = Models(RawTables(spark, folder)).providers
     stored.sync_replace(providers.withColumn("specialty", F.lit("old")), root)
     stored.sync_replace(providers, root)
-    return stored.read_current(spark, root)
+    return stored.read_stored(spark, root)
 
 
 @query
@@ -295,12 +295,12 @@ def sync_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sync_merge_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """The same through stored versions, with a second run that finds nothing new."""
+    """The same through a stored table, with a second run that finds nothing new."""
     root = scratch_path(spark, "subscriptions")
     target, source = _changing_subscriptions(spark, folder)
     for state in (target, source, source):
         stored.sync_merge(state, root, ["subscription_id"], "updated_at")
-    return stored.read_current(spark, root)
+    return stored.read_stored(spark, root, ["subscription_id"], "updated_at")
 
 
 def _log_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -396,7 +396,7 @@ def snapshot_stored(spark: SparkSession, folder: str) -> DataFrame:
     states = _subscription_states(spark, folder)
     for state, run_at in [*states, (states[-1][0], "2024-03-04 00:00:00")]:
         stored.take_snapshot(state, root, "subscription_id", WATCHED, run_at)
-    return stored.read_current(spark, root)
+    return stored.read_snapshot(spark, root)
 
 
 # -- streams --------------------------------------------------------------------------------
@@ -423,4 +423,4 @@ def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
         part.write.mode("append").parquet(f"{root}/in")
         stream = arriving(spark, f"{root}/in", target.schema)
         merge_stream(stream, f"{root}/out", ["subscription_id"], "updated_at", f"{root}/checkpoint").awaitTermination()
-    return stored.read_current(spark, f"{root}/out")
+    return stored.read_stored(spark, f"{root}/out", ["subscription_id"], "updated_at")

@@ -67,7 +67,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
-    """A table in fewer files than there are cores, spread by its key over all of them for heavy
-    row work. Tables of the size a cluster is for come in more files and are left alone."""
+    """A table read in fewer tasks than there are cores, spread by its key over all of them for
+    heavy row work. Tables of the size a cluster is for are read in more and are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *by)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)

@@ -1,8 +1,9 @@
-"""Stored states that are brought up to date without ever reading and overwriting one path.
+"""Stored tables that incremental runs bring up to date by writing only what changed.
 
-``publish`` writes each new version of a table to a folder of its own and then appends its number
-to a log; readers follow the log. A job that fails half-way leaves the old version in force, and
-its retry overwrites what it left behind. One writer per table is assumed.
+A merged table is a base and the deltas of later runs, each in a folder of its own, and a log of
+finished runs. Reading puts the newest delta rows in place of base rows of the same key; ``compact``
+writes that as a new base. No run reads and overwrites the same folder: one that fails half-way
+is not in the log, and its retry overwrites what it left. One writer per table is assumed.
 """
 
 from __future__ import annotations
@@ -10,37 +11,93 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from caremill.operators.versions import EPOCH, cursor_of, merge_by_key, rows_after, snapshot
+from caremill.functions.dates import TIMESTAMP
+from caremill.operators.versions import EPOCH, cursor_of, latest_per_key, merge_by_key, rows_after, snapshot
 from caremill.session import durable
 
+# The last column is the stored cursor: how far the source has been read.
+LOG = "version long, base long, last_value timestamp_ntz"
 
-def current_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def finished(spark: SparkSession, root: str, below: int | None = None) -> Row | None:
+    """Newest version, its base and its cursor, or None before the first run."""
     try:
-        log = spark.read.schema("version long").parquet(f"{root}/log")
-        if below is not None:
-            log = log.filter(F.col("version") < below)
-        return log.agg(F.max("version")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
+        log = spark.read.schema(LOG).parquet(f"{root}/log")
+    except AnalysisException as error:
+        if _missing(error):
             return None
         raise
+    if below is not None:
+        log = log.filter(F.col("version") < below)
+    newest = log.agg(*[F.max(name).alias(name) for name in log.columns]).first()
+    return None if newest.version is None else newest
 
 
-def read_current(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
-    version = current_version(spark, root, below)
-    return None if version is None else spark.read.parquet(f"{root}/data-{version}")
+def _finish(spark: SparkSession, root: str, version: int, base: int, last_value) -> int:
+    line = spark.createDataFrame([(version, base, last_value)], LOG)
+    line.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    return version
 
 
-def publish(df: DataFrame, root: str, version: int | None = None) -> int:
+def publish(df: DataFrame, root: str, cursor: str | None = None, version: int | None = None) -> int:
+    """Store a table as a whole, as a new base."""
     spark = df.sparkSession
     if version is None:
-        version = (current_version(spark, root) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/data-{version}")
-    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/log")
-    return version
+        state = finished(spark, root)
+        version = state.version + 1 if state else 1
+    df.write.mode("overwrite").parquet(f"{root}/base-{version}")
+    written = spark.read.parquet(f"{root}/base-{version}")
+    last_value = cursor_of(written, cursor).first()[0] if cursor else None
+    return _finish(spark, root, version, version, last_value)
+
+
+def read_stored(
+    spark: SparkSession, root: str, keys: list[str] | None = None, cursor: str | None = None, below: int | None = None
+) -> DataFrame | None:
+    """The table as of its newest finished run. The base is not shuffled while the keys of the
+    deltas are few enough for Spark to broadcast them."""
+    state = finished(spark, root, below)
+    if state is None:
+        return None
+    base = spark.read.parquet(f"{root}/base-{state.base}")
+    if state.version == state.base:
+        return base
+    runs = F.col("_run").between(state.base + 1, state.version)
+    schema = StructType([*base.schema.fields, StructField("_run", LongType())])
+    deltas = spark.read.schema(schema).parquet(f"{root}/delta").filter(runs)
+    newest = latest_per_key(deltas, keys, cursor, first="_run").select(*base.columns)
+    kept = base.join(deltas.select(*keys).distinct(), keys, "left_anti").select(*base.columns)
+    return kept.unionByName(newest)
+
+
+def write_delta(delta: DataFrame, root: str, keys: list[str], cursor: str, version: int, before: Row) -> int:
+    """Store the latest delta row of each key as one run; without any there is no new run.
+    Returns the newest version."""
+    spark, folder = delta.sparkSession, f"{root}/delta/_run={version}"
+    latest_per_key(delta, keys, cursor).write.mode("overwrite").parquet(folder)
+    reached = spark.read.schema(delta.schema).parquet(folder).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col(cursor).cast(TIMESTAMP)).alias("last_value")
+    ).first()
+    if not reached.rows:
+        return before.version
+    known = [v for v in (reached.last_value, before.last_value) if v is not None]
+    return _finish(spark, root, version, before.base, max(known, default=None))
+
+
+def compact(spark: SparkSession, root: str, keys: list[str], cursor: str) -> None:
+    """Write base and deltas as a new base of the same version."""
+    state = finished(spark, root)
+    if state and state.version > state.base:
+        read_stored(spark, root, keys, cursor).write.mode("overwrite").parquet(f"{root}/base-{state.version}")
+        _finish(spark, root, state.version, state.version, state.last_value)
 
 
 def sync_replace(source: DataFrame, root: str) -> int:
@@ -49,37 +106,61 @@ def sync_replace(source: DataFrame, root: str) -> int:
 
 
 def sync_merge(source: DataFrame, root: str, keys: list[str], cursor: str, lookback_days: int = 0) -> int:
-    """Read what changed past the stored cursor and merge it by key; safe to repeat."""
+    """Move what changed past the stored cursor; a repeated run moves nothing."""
     spark = source.sparkSession
-    target = read_current(spark, root)
-    if target is None:
-        empty = spark.createDataFrame([], source.schema)
-        return publish(merge_by_key(empty, source, keys, cursor), root)
-    delta = rows_after(source, cursor, _last_value(target, cursor), lookback_days)
-    return publish(merge_by_key(target, delta, keys, cursor), root)
+    state = finished(spark, root)
+    if state is None:
+        return publish(latest_per_key(source, keys, cursor), root, cursor)
+    delta = rows_after(source, cursor, _literal(state.last_value), lookback_days)
+    return write_delta(delta, root, keys, cursor, state.version + 1, state)
 
 
 def sync_append(source: DataFrame, path: str, cursor: str) -> None:
     """Append log rows past the stored cursor; nothing stored is rewritten."""
     spark = source.sparkSession
     try:
-        stored = spark.read.schema(source.schema).parquet(path)
-        last_value = _last_value(stored, cursor)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        last_value = cursor_of(spark.read.schema(source.schema).parquet(path), cursor).first()[0]
+    except AnalysisException as error:
+        if not _missing(error):
             raise
-        last_value = F.lit(EPOCH).cast("timestamp_ntz")
-    rows_after(source, cursor, last_value).write.mode("append").parquet(path)
+        last_value = None
+    rows_after(source, cursor, _literal(last_value)).write.mode("append").parquet(path)
 
 
-def _last_value(stored: DataFrame, cursor: str):
+def _literal(last_value):
     """The cursor as a literal (one value), so that the source scan can skip row groups by it."""
-    return F.lit(cursor_of(stored, cursor).first()["last_value"]).cast("timestamp_ntz")
+    return F.lit(EPOCH if last_value is None else last_value).cast(TIMESTAMP)
+
+
+# -- snapshots ------------------------------------------------------------------------------
 
 
 def take_snapshot(current: DataFrame, root: str, key: str, watched: list[str], run_at: str) -> int:
-    previous = read_current(current.sparkSession, root)
-    return publish(snapshot(current, previous, key, watched, run_at), root)
+    """Run a snapshot. Each run stores the open versions and the ones it closes; what earlier runs
+    closed is left as it is."""
+    spark = current.sparkSession
+    state = finished(spark, root)
+    version = state.version + 1 if state else 1
+    is_open = read_snapshot(spark, root).filter("valid_to IS NULL") if state else None
+    versions = snapshot(current, is_open, key, watched, run_at)
+    part = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
+    versions.withColumn("_part", part).write.mode("overwrite").partitionBy("_part").parquet(
+        f"{root}/runs/_run={version}"
+    )
+    return _finish(spark, root, version, version, None)
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """Open versions of the newest finished run and closed ones of all finished runs."""
+    state = finished(spark, root)
+    if state is None:
+        return None
+    run, part = F.col("_run"), F.col("_part")
+    in_force = ((part == "open") & (run == state.version)) | ((part == "closed") & (run <= state.version))
+    return spark.read.parquet(f"{root}/runs").filter(in_force).drop("_run", "_part")
+
+
+# -- partitioned tables ---------------------------------------------------------------------
 
 
 def refresh_partitions(
@@ -93,7 +174,8 @@ def refresh_partitions(
         source.write.partitionBy(partition).format("parquet").saveAsTable(table)
         return True
     target = spark.table(table)
-    delta = rows_after(source, cursor, _last_value(target, cursor), lookback_days).select(*target.columns)
+    since = _literal(cursor_of(target, cursor).first()[0])
+    delta = rows_after(source, cursor, since, lookback_days).select(*target.columns)
     old_places = target.join(delta.select(*keys).distinct(), keys, "left_semi").select(partition)
     # Distinct partition values: as many as there are folders.
     touched = [row[0] for row in delta.select(partition).union(old_places).distinct().collect()]

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from caremill.operators.versions import merge_by_key
-from caremill.sources.stored import publish, read_current
+from caremill.operators.versions import latest_per_key
+from caremill.sources.stored import finished, publish, write_delta
 
 
 def arriving(spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -34,17 +34,18 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 
 def merge_stream(stream: DataFrame, root: str, keys: list[str], cursor: str, checkpoint: str) -> StreamingQuery:
-    """Merge each micro-batch by key into the next version of a stored table.
+    """Store each micro-batch as one run of a merged table, to be read with ``read_stored``.
 
-    A batch always builds version (batch + 1) on the newest version below it, so a repeated
-    batch gives the same result. Within a batch the latest row of a key wins.
+    A batch is always run (batch + 1) and builds on the runs below it, so a repeated batch gives
+    the same result. Within a batch the latest row of a key wins, between batches the later one.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target = read_current(batch.sparkSession, root, below=batch_id + 1)
-        if target is None:
-            target = batch.sparkSession.createDataFrame([], batch.schema)
-        publish(merge_by_key(target, batch, keys, cursor), root, version=batch_id + 1)
+        before = finished(batch.sparkSession, root, below=batch_id + 1)
+        if before is None:
+            publish(latest_per_key(batch, keys, cursor), root, cursor, version=batch_id + 1)
+        else:
+            write_delta(batch, root, keys, cursor, batch_id + 1, before)
 
     return (
         stream.writeStream.foreachBatch(merge)

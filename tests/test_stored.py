@@ -104,23 +104,50 @@ def _pairs(df):
     return sorted((r.id, r.v) for r in df.collect())
 
 
-def test_merge_sync_repeats_safely_and_keeps_the_old_version_until_done(spark, root):
-    assert stored.read_current(spark, root) is None
-    stored.sync_merge(_state(spark, ("a", "1", 1), ("b", "1", 1)), root, ["id"], "updated_at")
-    old = stored.read_current(spark, root)
-    later = _state(spark, ("a", "1", 1), ("b", "2", 2), ("c", "1", 3))
-    for _ in range(2):
-        stored.sync_merge(later, root, ["id"], "updated_at")
-        assert _pairs(stored.read_current(spark, root)) == [("a", "1"), ("b", "2"), ("c", "1")]
-    assert _pairs(old) == [("a", "1"), ("b", "1")]
+def _read(spark, root):
+    return stored.read_stored(spark, root, ["id"], "updated_at")
+
+
+def _moved(spark, root, run):
+    return spark.read.schema(STATE).parquet(f"{root}/delta/_run={run}").count()
+
+
+def test_merge_sync_moves_only_changes_and_repeats_safely(spark, root):
+    assert _read(spark, root) is None
+    stored.sync_merge(_state(spark, ("a", "1", 1), ("b", "0", 1), ("b", "1", 2)), root, ["id"], "updated_at")
+    assert _pairs(_read(spark, root)) == [("a", "1"), ("b", "1")]
+    later = _state(spark, ("a", "1", 1), ("b", "2", 3), ("c", "1", 4), ("late", "1", 2))
+    assert [stored.sync_merge(later, root, ["id"], "updated_at") for _ in range(2)] == [2, 2]
+    assert _pairs(_read(spark, root)) == [("a", "1"), ("b", "2"), ("c", "1")]
+    stored.sync_merge(_state(spark, ("c", "2", 5)), root, ["id"], "updated_at")
+    assert _moved(spark, root, 3) == 1
+    assert _pairs(_read(spark, root)) == [("a", "1"), ("b", "2"), ("c", "2")]
 
 
-def test_half_written_version_is_ignored_and_overwritten(spark, root):
-    stored.publish(_state(spark, ("a", "1", 1)), root)
-    _state(spark, ("x", "torn", 1)).write.parquet(f"{root}/data-2")
-    assert _pairs(stored.read_current(spark, root)) == [("a", "1")]
-    stored.publish(_state(spark, ("b", "2", 2)), root)
-    assert _pairs(stored.read_current(spark, root)) == [("b", "2")]
+def test_compacting_changes_nothing_to_the_reader(spark, root):
+    for day in range(1, 6):
+        stored.sync_merge(_state(spark, ("a", str(day), day), (f"k{day}", "1", day)), root, ["id"], "updated_at")
+    before = _pairs(_read(spark, root))
+    stored.compact(spark, root, ["id"], "updated_at")
+    state = stored.finished(spark, root)
+    assert (state.version, state.base, state.last_value) == (5, 5, datetime(2024, 1, 5))
+    assert _pairs(_read(spark, root)) == before
+    stored.sync_merge(_state(spark, ("a", "6", 6)), root, ["id"], "updated_at")
+    assert ("a", "6") in _pairs(_read(spark, root))
+
+
+def test_half_written_run_is_ignored_and_overwritten(spark, root):
+    stored.publish(_state(spark, ("a", "1", 1)), root, "updated_at")
+    _state(spark, ("x", "torn", 9)).write.parquet(f"{root}/delta/_run=2")
+    assert _pairs(_read(spark, root)) == [("a", "1")]
+    stored.sync_merge(_state(spark, ("b", "2", 2)), root, ["id"], "updated_at")
+    assert _pairs(_read(spark, root)) == [("a", "1"), ("b", "2")]
+
+
+def test_replace_sync(spark, root):
+    for value in ("1", "2"):
+        stored.sync_replace(_state(spark, ("a", value, 1)), root)
+    assert _pairs(stored.read_stored(spark, root)) == [("a", "2")]
 
 
 def test_append_sync(spark, root):
@@ -151,13 +178,18 @@ def test_partitions_are_rewritten_only_where_rows_change(spark):
     assert not refresh(("e", "2", 2, "m4"))
 
 
-def test_stored_snapshot(spark, root):
+def test_stored_snapshot_rewrites_no_closed_versions(spark, root):
     def take(rows, at):
         stored.take_snapshot(spark.createDataFrame(rows, "id string, plan string"), root, "id", ["plan"], at)
-        return sorted((r.id, r.plan, r.valid_to is None) for r in stored.read_current(spark, root).collect())
+        return sorted((r.id, r.plan, r.valid_to is None) for r in stored.read_snapshot(spark, root).collect())
+
+    def written(run):
+        return spark.read.parquet(f"{root}/runs/_run={run}").count()
 
-    assert take([("a", "x")], "2024-01-01 00:00:00") == [("a", "x", True)]
-    assert take([("a", "y")], "2024-01-02 00:00:00") == [("a", "x", False), ("a", "y", True)]
+    assert take([("a", "x"), ("b", "x")], "2024-01-01 00:00:00") == [("a", "x", True), ("b", "x", True)]
+    assert take([("a", "y")], "2024-01-02 00:00:00") == [("a", "x", False), ("a", "y", True), ("b", "x", False)]
+    assert take([("a", "y")], "2024-01-03 00:00:00") == [("a", "x", False), ("a", "y", True), ("b", "x", False)]
+    assert [written(run) for run in (1, 2, 3)] == [2, 3, 1]
 
 
 # -- streams --------------------------------------------------------------------------------
@@ -177,7 +209,7 @@ def test_stream_merge_over_several_batches(spark, root):
         _state(spark, *rows).coalesce(1).write.mode("append").parquet(f"{root}/in")
     stream = arriving(spark, f"{root}/in", _state(spark).schema, max_files=1)
     merge_stream(stream, f"{root}/out", ["id"], "updated_at", f"{root}/checkpoint").awaitTermination()
-    assert _pairs(stored.read_current(spark, f"{root}/out")) == [("a", "3"), ("b", "1"), ("c", "1")]
+    assert _pairs(_read(spark, f"{root}/out")) == [("a", "3"), ("b", "1"), ("c", "1")]
 
 
 def test_repeated_stream_batch_changes_nothing(spark, root):
@@ -186,5 +218,5 @@ def test_repeated_stream_batch_changes_nothing(spark, root):
     for checkpoint in ("first", "second"):
         stream = arriving(spark, f"{root}/in", _state(spark).schema)
         merge_stream(stream, f"{root}/out", ["id"], "updated_at", f"{root}/{checkpoint}").awaitTermination()
-    assert stored.current_version(spark, f"{root}/out") == 1
-    assert _pairs(stored.read_current(spark, f"{root}/out")) == [("a", "1")]
+    assert stored.finished(spark, f"{root}/out").version == 1
+    assert _pairs(_read(spark, f"{root}/out")) == [("a", "1")]
