@@ -19,6 +19,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caremill.operators.versions import cursor_of, rows_after
 from caremill.plans.catalogue import QUERIES
 from caremill.plans.models import Models
 from caremill.session import local_session
@@ -58,6 +59,23 @@ def naive_plan_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rows_moved(spark: SparkSession, folder: str) -> dict[str, list[int]]:
+    """Rows a run moves when all but the last day had been synced before, and all rows."""
+    m = Models(RawTables(spark, folder))
+    tables = {
+        "patients": (m.patients, "updated_at"),
+        "appointments": (m.appointments, "updated_at"),
+        "subscriptions": (m.subscriptions, "updated_at"),
+        "subscription_events": (m.subscription_events, "event_at"),
+        "marketing_touchpoints": (m.touchpoints, "event_at"),
+    }
+    moved = {}
+    for name, (df, cursor) in tables.items():
+        last_day = F.date_trunc("day", cursor_of(df, cursor).scalar()).cast("timestamp_ntz")
+        moved[name] = [rows_after(df, cursor, last_day - F.expr("INTERVAL '1' SECOND")).count(), df.count()]
+    return moved
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -82,6 +100,7 @@ def main() -> None:
         "queries": {name: warm[name] for name in timed},
         "cold": {name: cold[name] for name in timed},
         "compared": {name: warm[name] for name in naive},
+        "rows_moved_daily_and_in_full": {} if only else rows_moved(spark, folder),
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
         "spark": spark.version,
         "master": spark.sparkContext.master,

@@ -20,6 +20,9 @@ from caremill.session import durable
 
 CHUNK = "_chunk"
 COPY = "_copy"
+# More chunks than this are not made, they get bigger instead. Together with the longest list of
+# hot keys it bounds the summaries that are broadcast, whatever the size of the data.
+MOST_CHUNKS = 20_000
 
 
 class OrderedRows:
@@ -52,7 +55,7 @@ class OrderedRows:
             )
             self._plain = df.join(listed, same, "left_anti")
             big = df.join(listed, same, "left_semi")
-        chunks = 1 + ceil(hot.rows / hot.rows_per_task)
+        chunks = min(1 + ceil(hot.rows / hot.rows_per_task), MOST_CHUNKS)
         # Copies of one row cannot be told apart, so they get a number to split them by. Both the
         # number and the chunk must stay the same however often they are read or recomputed,
         # hence the checkpoints.
@@ -174,7 +177,7 @@ class OrderedRows:
         same = reduce(
             Column.__and__, [F.col(k).eqNullSafe(F.col(f"_edge_{k}")) for k in (*self.keys, CHUNK)]
         )
-        # With listed keys there are at most (listed keys + chunks) summary rows.
+        # With listed keys there are at most (listed keys + chunks) summary rows, both bounded.
         right = F.broadcast(renamed) if self._bounded else renamed
         return rows.join(right, same, "left").drop(*[f"_edge_{k}" for k in (*self.keys, CHUNK)])
 

@@ -179,6 +179,25 @@ class Models:
         }
 
 
+    def serving_views(self) -> dict[str, DataFrame]:
+        """What dashboards may read, by view name. Current subscriptions are a view of the fact."""
+        views = {
+            table: df for (schema, table), df in self.tables().items()
+            if schema in (SCHEMAS["marts"], SCHEMAS["clinical_marts"])
+        }
+        return views | {
+            "subscriptions": self.fct_subscriptions,
+            "plan_mix_over_time": self.plan_mix,
+            "plan_transitions": self.plan_transitions,
+        }
+
+
+def register_views(views: dict[str, DataFrame]) -> None:
+    """Make serving tables available to SQL by name."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+
+
 def publish_tables(spark: SparkSession, tables: dict[tuple[str, str], DataFrame], root: str) -> dict[tuple[str, str], DataFrame]:
     """Write each table to ``root/schema/table`` and return them as read back."""
     for (schema, table), df in tables.items():

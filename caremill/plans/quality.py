@@ -89,6 +89,7 @@ def warehouse_catalogue(spark: SparkSession, schemas: Iterable[str]) -> DataFram
         (schema, table.name): spark.table(f"{schema}.{table.name}")
         for schema in schemas
         for table in spark.catalog.listTables(schema)
+        if not table.isTemporary
     }
     return column_catalogue(spark, tables)
 

@@ -52,13 +52,23 @@ def text_schema(columns: Iterable[str]) -> str:
     return ", ".join(f"`{name}` string" for name in columns)
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame | None:
+def read_text_csv(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, line_breaks: bool = False
+) -> DataFrame | None:
     """A headered CSV file, or all ``*.csv`` files of a folder, as text; None when there are none.
 
     No types are inferred: that would be a second pass, and would turn a postal code into a
-    number. With ``columns`` the headers are checked against them.
+    number. With ``columns`` the headers are checked against them. Rows of another length are
+    refused. Quoted fields may hold ``line_breaks`` when asked for: such files cannot be split.
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("enforceSchema", False)
+    reader = (
+        spark.read.option("header", True)
+        .option("pathGlobFilter", "*.csv")
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("multiLine", line_breaks)
+    )
     if columns is not None:
         reader = reader.schema(text_schema(columns))
     try:

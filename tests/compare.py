@@ -21,7 +21,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for table in TABLES:
-        if os.path.exists(f"{folder}/{table}.parquet"):
+        if os.path.isfile(f"{folder}/{table}.parquet"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     return con
 

@@ -61,6 +61,15 @@ def test_unexpected_header_is_refused(spark, tmp_path):
         landing.read_text_csv(spark, str(tmp_path / "providers.csv"), landing.CARE_TABLES["providers"]).collect()
 
 
+def test_quotes_line_breaks_and_short_rows(spark, tmp_path):
+    _write(tmp_path / "a.csv", 'k,v\n1,"say ""hi"", twice"\n2,"two\nlines"\n')
+    rows = landing.read_text_csv(spark, str(tmp_path / "a.csv"), line_breaks=True).collect()
+    assert [tuple(r) for r in rows] == [("1", 'say "hi", twice'), ("2", "two\nlines")]
+    _write(tmp_path / "b.csv", "k,v,w\n1,2\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_text_csv(spark, str(tmp_path / "b.csv")).collect()
+
+
 def test_registry_file(spark, tmp_path):
     _write(tmp_path / "registry.csv", "column_name,tier,rationale\n SSN ,1,id\nzip,2,input\nfax,,id\n,1,blank\n")
     registry = privacy.read_registry(spark, str(tmp_path / "registry.csv"))
