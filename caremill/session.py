@@ -33,6 +33,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores if cores != "*" else 8))
+        # Do not look up the Python call site of every expression: half the time of building a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)

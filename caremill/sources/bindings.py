@@ -25,6 +25,24 @@ RECENT_REVENUE_START = date(2023, 12, 25)
 LOADED_AT = "2024-02-01 00:00:00"
 
 
+# Columns of the test tables. Stating them saves Spark from opening files to find out.
+GIVEN = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def _text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -52,7 +70,7 @@ class RawTables:
         self.spark, self.folder, self.recent = spark, folder.rstrip("/"), recent
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- care ---------------------------------------------------------------------------
 

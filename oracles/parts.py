@@ -246,7 +246,7 @@ PARTS["m_transitions"] = """
 
 PARTS["m_marketing"] = """
   SELECT first_touch_channel AS channel, first_touch_campaign AS campaign, count(*) AS signups,
-         count(s.patient_id) AS subscribers, count_if(is_active) AS active_subscribers, spend::DOUBLE AS total_spend,
+         count(s.patient_id) AS subscribers, count_if(is_active)::BIGINT AS active_subscribers, spend::DOUBLE AS total_spend,
          round_half(spend, count(*)) AS cac_per_signup,
          round_half(spend, count(s.patient_id)) AS cac_per_subscriber,
          sum(CASE WHEN is_active THEN mrr_amount END)::BIGINT AS active_mrr

@@ -110,7 +110,7 @@ _SQL["bi_enc_class"] = """
 _SQL["bi_enc_demo"] = """
   SELECT age_band, gender, count(*) AS encounters FROM m_clinical WHERE age_band IS NOT NULL GROUP BY ALL"""
 _SQL["bi_hist_headline"] = """
-  SELECT count(*) AS subscriptions, count_if(n > 1) AS subs_changed, sum(n - 1)::BIGINT AS plan_changes,
+  SELECT count(*) AS subscriptions, count_if(n > 1)::BIGINT AS subs_changed, sum(n - 1)::BIGINT AS plan_changes,
          count_if(n > 1)::DOUBLE / count(*) AS pct_changed
   FROM (SELECT subscription_id, count(*) AS n FROM m_plan_sets GROUP BY ALL)"""
 _SQL["bi_directions"] = """

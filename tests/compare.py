@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import io
-import math
 import os
 from collections import Counter
 from decimal import Decimal
@@ -27,28 +26,23 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
     if isinstance(value, Decimal):
         return value.normalize() + 0
     return value
 
 
-SPARK_KINDS = {
-    "int": "int", "bigint": "int", "smallint": "int", "string": "text", "double": "float", "boolean": "bool",
-    "date": "date", "timestamp_ntz": "timestamp", "timestamp": "timestamp",
-}
-DUCK_KINDS = {
-    "INTEGER": "int", "BIGINT": "int", "HUGEINT": "int", "VARCHAR": "text", "DOUBLE": "float", "BOOLEAN": "bool",
-    "DATE": "date", "TIMESTAMP": "timestamp",
+# Spark's names of DuckDB's types; decimals are called the same.
+TYPES = {
+    "INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+    "DATE": "date", "TIMESTAMP": "timestamp_ntz",
 }
 
 
 def difference(df, con, sql: str) -> str | None:
     """None when equal, else a short description."""
-    spark_kinds = {f.name: SPARK_KINDS.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    spark_kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     relation = con.sql(sql)
-    duck_kinds = {n: DUCK_KINDS.get(str(t), str(t).lower().replace(", ", ",")) for n, t in zip(relation.columns, relation.types)}
+    duck_kinds = {n: TYPES.get(str(t), str(t).lower().replace(", ", ",")) for n, t in zip(relation.columns, relation.types)}
     if spark_kinds != duck_kinds:
         odd = {n: (spark_kinds.get(n), duck_kinds.get(n)) for n in spark_kinds | duck_kinds if spark_kinds.get(n) != duck_kinds.get(n)}
         return f"schema: {odd}"
