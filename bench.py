@@ -54,7 +54,7 @@ def naive_plan_mix(spark: SparkSession, folder: str) -> DataFrame:
     on = (F.col("calendar_date") >= F.col("valid_from").cast("date")) & (
         F.col("valid_to").isNull() | (F.col("calendar_date") < F.col("valid_to").cast("date"))
     )
-    return m.revenue_days.join(m.subscription_history, on).groupBy("calendar_date", "plan_id").agg(
+    return m.revenue_days.join(m.plan_periods, on).groupBy("calendar_date", "plan_id").agg(
         F.count(F.lit(1)).alias("subscriptions"), F.sum("mrr_amount").alias("mrr")
     )
 

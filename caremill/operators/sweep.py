@@ -7,32 +7,37 @@ before the shuffle; what is left to accumulate is one row per day and group.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def daily_changes(df: DataFrame, start: Column, end: Column, measure: Column, by: tuple[str, ...] = ()) -> DataFrame:
+def daily_changes(
+    df: DataFrame, start: Column, end: Column, measure: Column, by: tuple[str, ...] = (), first: Column | None = None
+) -> DataFrame:
     """Net change per day (and group) of active intervals, of intervals with a measure, and of
     the measure's sum. Both ends are dates; a NULL end never comes off; empty and inverted
-    intervals count nothing. Also kept, per day: first start and last known moment of the
-    intervals that start there, over all intervals."""
+    intervals count nothing. What happens before ``first`` is counted on that day. Kept per day
+    as well, over all intervals: the last start and the last known end or start (``reach``)."""
     counts = F.when(start < F.coalesce(end, F.date_add(start, 1)), F.lit(1)).otherwise(F.lit(0))
     priced = F.when(measure.isNotNull(), counts).otherwise(F.lit(0))
     amount = (F.coalesce(measure, F.lit(0)) * counts).cast("bigint")
+    no_date = F.lit(None).cast("date")
 
-    def change(at: Column, sign: int, reach: Column) -> Column:
+    def change(at: Column, sign: int, started: Column, reach: Column) -> Column:
+        # greatest() would turn "no day" into ``first``.
+        counted_on = at if first is None else F.when(at.isNotNull(), F.greatest(at, first))
         return F.struct(
-            at.alias("day"),
+            counted_on.alias("day"),
             (counts * sign).alias("n"),
             (priced * sign).alias("priced"),
             (amount * sign).alias("amount"),
+            started.alias("started"),
             reach.alias("reach"),
         )
 
-    both = F.array(
-        change(start, 1, F.coalesce(end, start)),
-        change(end, -1, F.lit(None).cast("date")),
-    )
+    both = F.array(change(start, 1, start, F.coalesce(end, start)), change(end, -1, no_date, no_date))
     return (
         df.select(*by, F.explode(both).alias("c"))
         .filter(F.col("c.day").isNotNull())
@@ -41,29 +46,35 @@ def daily_changes(df: DataFrame, start: Column, end: Column, measure: Column, by
             F.sum("c.n").alias("n"),
             F.sum("c.priced").alias("priced"),
             F.sum("c.amount").alias("amount"),
+            F.max("c.started").alias("last_start"),
             F.max("c.reach").alias("reach"),
         )
     )
 
 
-def active_by_day(
-    df: DataFrame, start: Column, end: Column, measure: Column, days: DataFrame, day: str, first: Column
-) -> DataFrame:
-    """``days``, which begin at ``first``, with active, priced and amount for each, 0 where
-    nothing is active."""
-    changes = daily_changes(df, start, end, measure)
-    # What began before the first day is already active on it.
-    opening = changes.groupBy(F.greatest(F.col("day"), first).alias(day)).agg(
-        F.sum("n").alias("n"), F.sum("priced").alias("priced"), F.sum("amount").alias("amount")
+def active_by_day(df: DataFrame, start: Column, end: Column, measure: Column, first: date, day: str) -> DataFrame:
+    """Active, priced and amount for each day from ``first`` to the last start, 0 where nothing is
+    active. The calendar is filled in between the daily changes, so the intervals are read once."""
+    opening = F.lit(first)
+    changes = daily_changes(df, start, end, measure, first=opening)
+    # From here on: at most one row per calendar day, so a single task is enough.
+    whole, by_day = Window.partitionBy(), Window.orderBy("day")
+    running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {"n": "active", "priced": "priced", "amount": "amount"}
+    states = changes.select(
+        F.col("day").alias("_day"),
+        *[F.sum(name).over(running).alias(alias) for name, alias in sums.items()],
+        F.lag("day").over(by_day).alias("_before"),
+        F.date_sub(F.lead("day").over(by_day), 1).alias("_until"),
+        F.max("last_start").over(whole).alias("_last"),
     )
-    # One row per calendar day: a single task is enough.
-    running = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return days.join(opening, day, "left").select(
-        day,
-        *[
-            F.coalesce(F.sum(name).over(running), F.lit(0)).alias(alias)
-            for name, alias in (("n", "active"), ("priced", "priced"), ("amount", "amount"))
-        ],
+    # The state of a day lasts until the next change; before the first change there is none.
+    begin = F.when(F.col("_before").isNull(), opening).otherwise(F.col("_day"))
+    until = F.least(F.coalesce("_until", "_last"), F.col("_last"))
+    return (
+        states.filter((F.col("_day") <= F.col("_last")) & (F.col("_last") >= opening))
+        .withColumn(day, F.explode(F.sequence(begin, until)))
+        .select(day, *[F.when(F.col(day) >= F.col("_day"), F.col(c)).otherwise(F.lit(0)).alias(c) for c in sums.values()])
     )
 
 

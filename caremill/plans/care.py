@@ -145,9 +145,8 @@ def fct_mrr_daily(subscriptions: DataFrame, as_of: date, start: date = REVENUE_S
         F.col("started_at"),
         runs_to,
         F.col("mrr_amount"),
-        revenue_days(subscriptions, start),
+        start,
         "calendar_date",
-        F.lit(start),
     )
     return daily.select(
         "calendar_date",
@@ -158,7 +157,7 @@ def fct_mrr_daily(subscriptions: DataFrame, as_of: date, start: date = REVENUE_S
     ).orderBy("calendar_date")
 
 
-def subscription_history(events: DataFrame, subscriptions: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def plan_periods(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Plan periods of each subscription, rebuilt from its event log.
 
     Activations and reactivations do not matter; a change after the first cancellation leaves a
@@ -169,11 +168,16 @@ def subscription_history(events: DataFrame, subscriptions: DataFrame, hot: HotKe
     )
     closes = events.filter(F.col("event_type") == CLOSING_EVENT)
     periods = history_from_events(sets, closes, "subscription_id", "plan_id", "event_at", "event_id", hot)
+    return periods.withColumn("mrr_amount", lookup(F.col("plan_id"), PLAN_PRICES))
+
+
+def subscription_history(periods: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Plan periods with the patient of each subscription."""
     return periods.join(subscriptions.select("subscription_id", "patient_id"), "subscription_id", "left").select(
         "subscription_id",
         "patient_id",
         "plan_id",
-        lookup(F.col("plan_id"), PLAN_PRICES).alias("mrr_amount"),
+        "mrr_amount",
         "version",
         "valid_from",
         "valid_to",

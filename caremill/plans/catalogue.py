@@ -98,11 +98,11 @@ _models("bi_enc_kpis", lambda m: bi.encounter_kpis(m.clinical_encounters))
 _models("bi_enc_month", lambda m: bi.encounters_by_month(m.clinical_encounters))
 _models("bi_enc_class", lambda m: bi.cost_by_class(m.clinical_encounters))
 _models("bi_enc_demo", lambda m: bi.encounters_by_demographics(m.clinical_encounters))
-_models("bi_hist_headline", lambda m: bi.history_headline(m.subscription_history))
+_models("bi_hist_headline", lambda m: bi.history_headline(m.plan_periods))
 _models("bi_directions", lambda m: bi.plan_directions(m.plan_transitions))
 _models("bi_mrr_compare", lambda m: bi.mrr_comparison(m.plan_mix, m.fct_mrr_daily), recent=True)
 _models("bi_mrr_gap", lambda m: bi.mrr_gap(m.plan_mix, m.fct_mrr_daily), recent=True)
-_models("bi_busiest", lambda m: bi.busiest_timelines(m.subscription_history))
+_models("bi_busiest", lambda m: bi.busiest_timelines(m.plan_periods))
 
 # -- checks ---------------------------------------------------------------------------------
 
@@ -128,7 +128,7 @@ _models(
 _models("check_expression", lambda m: quality.false_rows(m.payer_transitions, "NOT is_invalid_interval"))
 _models(
     "check_expression_where",
-    lambda m: quality.false_rows(m.subscription_history, "valid_from <= valid_to", "valid_to IS NOT NULL").select(
+    lambda m: quality.false_rows(m.plan_periods, "valid_from <= valid_to", "valid_to IS NOT NULL").select(
         "subscription_id", "version", "valid_from", "valid_to"
     ),
 )

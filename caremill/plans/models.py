@@ -101,6 +101,11 @@ class Models:
     def attribution(self) -> DataFrame:
         return care.attribution(self.touchpoints, self.patients)
 
+    @cached_property
+    def plan_periods(self) -> DataFrame:
+        """The history without patients, for what does not need them."""
+        return care.plan_periods(self.subscription_events, self.hot_subscriptions)
+
     @cached_property
     def payer_periods(self) -> DataFrame:
         return clinical.payer_periods(self.payer_transitions, self.gap_days, self.hot_patients)
@@ -134,7 +139,7 @@ class Models:
 
     @cached_property
     def subscription_history(self) -> DataFrame:
-        return care.subscription_history(self.subscription_events, self.subscriptions, self.hot_subscriptions)
+        return care.subscription_history(self.plan_periods, self.subscriptions)
 
     @cached_property
     def marketing(self) -> DataFrame:
@@ -148,11 +153,11 @@ class Models:
 
     @cached_property
     def plan_mix(self) -> DataFrame:
-        return care.plan_mix_over_time(self.subscription_history, self.revenue_days)
+        return care.plan_mix_over_time(self.plan_periods, self.revenue_days)
 
     @cached_property
     def plan_transitions(self) -> DataFrame:
-        return care.plan_transitions(self.subscription_history, self.hot_subscriptions)
+        return care.plan_transitions(self.plan_periods, self.hot_subscriptions)
 
     def tables(self) -> dict[tuple[str, str], DataFrame]:
         """Staged and serving tables by (schema, table)."""

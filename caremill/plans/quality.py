@@ -49,8 +49,8 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 
 def false_rows(df: DataFrame, expression: str, where: str = "true") -> DataFrame:
-    """Rows (among those matching ``where``) for which the expression is not true."""
-    return df.filter(F.expr(where)).filter(~F.coalesce(F.expr(expression), F.lit(False)))
+    """Rows (among those matching ``where``) for which the expression is false; NULL passes."""
+    return df.filter(F.expr(where)).filter(~F.expr(expression))
 
 
 def overlapping_periods(periods: DataFrame, hot: HotKeys | None = None) -> DataFrame:
@@ -175,7 +175,7 @@ class Check:
         if self.kind == "accepted_values":
             return ~F.col(self.columns[0]).isin(*self.accepted)
         if self.kind == "expression":
-            return F.expr(self.where) & ~F.coalesce(F.expr(self.expression), F.lit(False))
+            return F.expr(self.where) & ~F.expr(self.expression)
         return None
 
 

@@ -301,7 +301,7 @@ def _check_sql(table: str, check: Check) -> str:
     elif check.kind == "accepted_values":
         failures = f"SELECT count(*) FROM {source} WHERE NOT list_contains({list(check.accepted)}, {columns})"
     elif check.kind == "expression":
-        failures = f"SELECT count(*) FROM {source} WHERE {check.where} AND ({check.expression}) IS NOT TRUE"
+        failures = f"SELECT count(*) FROM {source} WHERE {check.where} AND ({check.expression}) IS FALSE"
     elif check.kind == "relationship":
         parent = f"(SELECT {check.parent_column} AS up FROM {_CHECKED[check.parent]})"
         failures = f"SELECT count(*) FROM {source} LEFT JOIN {parent} ON up = {columns} WHERE up IS NULL AND {columns} IS NOT NULL"
