@@ -258,23 +258,23 @@ def land_drop_tier1(spark: SparkSession, folder: str) -> DataFrame:
 # -- syncs ----------------------------------------------------------------------------------
 
 
-def _changing_subscriptions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(stored, source): one row in five is new in the source and one in twenty has changed, both
-    past the stored cursor; one in seven differs without a newer cursor and must be left alone."""
-    state = Models(RawTables(spark, folder)).subscriptions.drop("created_at", "_loaded_at")
-    key = F.col("subscription_id").cast("bigint")
-    is_new, has_changed = key % 5 == 0, key % 20 == 1
-    moved = is_new | has_changed
-    later = F.date_add(F.lit("2010-01-01").cast("date"), (key % 365).cast("int")).cast("timestamp_ntz")
-    source = state.withColumns(
+def _subscriptions_on(subscriptions: DataFrame, day: str) -> DataFrame:
+    """What the source showed at the start of a day: no later subscription, and no later end."""
+    moment = F.lit(day).cast("date")
+    ends_later = F.col("cancelled_at") >= moment
+    return subscriptions.filter(F.col("started_at") < moment).withColumns(
         {
-            "status": F.when(has_changed, F.lit("changed"))
-            .when(~moved & (key % 7 == 0), F.lit("unseen"))
-            .otherwise(F.col("status")),
-            "updated_at": F.when(moved, later).otherwise(F.col("updated_at")),
+            "status": F.when(ends_later, F.lit("active")).otherwise(F.col("status")),
+            "cancelled_at": F.when(~ends_later, F.col("cancelled_at")),
+            "updated_at": F.when(ends_later, F.col("created_at")).otherwise(F.col("updated_at")),
         }
     )
-    return state.filter(~is_new), source
+
+
+def _two_states(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(stored, source): the subscriptions as they were one day, and as they are in the end."""
+    source = Models(RawTables(spark, folder)).subscriptions.drop("_loaded_at")
+    return _subscriptions_on(source, "1999-01-01"), source
 
 
 @query
@@ -289,7 +289,7 @@ def sync_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sync_merge(spark: SparkSession, folder: str) -> DataFrame:
-    target, source = _changing_subscriptions(spark, folder)
+    target, source = _two_states(spark, folder)
     return versions.refresh_incrementally(target, source, ["subscription_id"], "updated_at")
 
 
@@ -297,17 +297,16 @@ def sync_merge(spark: SparkSession, folder: str) -> DataFrame:
 def sync_merge_stored(spark: SparkSession, folder: str) -> DataFrame:
     """The same through a stored table, with a second run that finds nothing new."""
     root = scratch_path(spark, "subscriptions")
-    target, source = _changing_subscriptions(spark, folder)
+    target, source = _two_states(spark, folder)
     for state in (target, source, source):
         stored.sync_merge(state, root, ["subscription_id"], "updated_at")
     return stored.read_stored(spark, root, ["subscription_id"], "updated_at")
 
 
 def _log_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(stored, source) of the event log: stored up to a day, with gaps that arrive too late."""
+    """(stored, source): the event log up to a day, and as a whole."""
     log = Models(RawTables(spark, folder)).subscription_events.drop("_loaded_at")
-    early = (F.col("event_at") < F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("event_id").cast("bigint") % 50 != 0)
-    return log.filter(early), log
+    return log.filter("event_at < DATE '2024-01-20'"), log
 
 
 @query
@@ -340,44 +339,35 @@ def sync_cursor_state(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def incremental_appointments(spark: SparkSession, folder: str) -> DataFrame:
-    """The appointment fact built until a day and then brought up to date; one in nine of the
-    stored rows has been moved past that day in the meantime."""
-    m = Models(RawTables(spark, folder))
-    fact = m.fct_appointments.select(
-        "appointment_id", "patient_id", "provider_id", "provider_specialty", "status", "appointment_date", "updated_at"
-    )
-    first_build = fact.filter("updated_at <= DATE '2000-01-01'")
-    late = F.col("provider_id").cast("bigint") % 9 == 0
-    source = fact.withColumns(
+    """The appointment fact as built one day, brought up to date. What was booked by then but not
+    yet held was scheduled; what was booked later was not there."""
+    fact = Models(RawTables(spark, folder)).fct_appointments
+    source = fact.withColumn("updated_at", F.greatest("created_at", "updated_at"))
+    build_day = F.lit("2000-01-01").cast("timestamp_ntz")
+    open_then = F.col("updated_at") > build_day
+    first_build = source.filter(F.col("created_at") <= build_day).withColumns(
         {
-            "status": F.when(late, F.lit("moved")).otherwise(F.col("status")),
-            "updated_at": F.when(late, F.lit("2030-01-01").cast("timestamp_ntz")).otherwise(F.col("updated_at")),
+            "status": F.when(open_then, F.lit("scheduled")).otherwise(F.col("status")),
+            "updated_at": F.when(open_then, F.col("created_at")).otherwise(F.col("updated_at")),
         }
     )
-    return versions.refresh_incrementally(first_build, source, ["appointment_id"], "updated_at").drop("provider_id")
+    return versions.refresh_incrementally(first_build, source, ["appointment_id"], "updated_at")
 
 
 WATCHED = ["plan_id", "mrr_amount", "status"]
 
 
 def _subscription_states(spark: SparkSession, folder: str) -> list[tuple[DataFrame, str]]:
-    """Three states of the subscriptions: plans change, some go, and some of those come back."""
-    now = Models(RawTables(spark, folder)).subscriptions.select(
-        "subscription_id", "patient_id", *WATCHED, "started_at", "cancelled_at"
-    )
-    key = F.col("subscription_id").cast("bigint")
-    changed = now.withColumns(
-        {
-            "plan_id": F.when(key % 10 == 0, F.lit("plus")).otherwise(F.col("plan_id")),
-            # Not watched: a change here must not open a version.
-            "cancelled_at": F.when(key % 11 == 0, F.lit(None)).otherwise(F.col("cancelled_at")),
-        }
-    )
-    return [
-        (now.filter(key % 13 != 0), "2024-03-01 00:00:00"),
-        (changed.filter(key % 97 != 0), "2024-03-02 00:00:00"),
-        (changed.filter(key % 97 != 0).unionByName(now.filter(key % 194 == 0)), "2024-03-03 00:00:00"),
-    ]
+    """The subscriptions on three days, from a source that forgets them a year after they end."""
+    subscriptions = Models(RawTables(spark, folder)).subscriptions
+    states = []
+    for day in ("1997-01-01", "1999-01-01", "2001-01-01"):
+        kept = F.coalesce(F.col("cancelled_at") >= F.date_sub(F.lit(day).cast("date"), 365), F.lit(True))
+        state = _subscriptions_on(subscriptions, day).filter(kept)
+        states.append(
+            (state.select("subscription_id", "patient_id", *WATCHED, "started_at", "cancelled_at"), f"{day} 00:00:00")
+        )
+    return states
 
 
 @query
@@ -394,7 +384,7 @@ def snapshot_stored(spark: SparkSession, folder: str) -> DataFrame:
     """The same with each run's result stored, and the last run repeated."""
     root = scratch_path(spark, "snapshot")
     states = _subscription_states(spark, folder)
-    for state, run_at in [*states, (states[-1][0], "2024-03-04 00:00:00")]:
+    for state, run_at in [*states, (states[-1][0], "2001-01-02 00:00:00")]:
         stored.take_snapshot(state, root, "subscription_id", WATCHED, run_at)
     return stored.read_snapshot(spark, root)
 
@@ -404,10 +394,10 @@ def snapshot_stored(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_append(spark: SparkSession, folder: str) -> DataFrame:
-    """The event log taken in as a stream in two runs; late rows are not missed."""
+    """The event log taken in as a stream in two runs."""
     root = scratch_path(spark, "log")
     first, log = _log_parts(spark, folder)
-    for part in (first, log.join(first, "event_id", "left_anti").select(*log.columns)):
+    for part in (first, log.filter("event_at >= DATE '2024-01-20'")):
         part.write.mode("append").parquet(f"{root}/in")
         stream = arriving(spark, f"{root}/in", log.schema)
         append_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
@@ -418,8 +408,8 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
 def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Subscription changes merged as a stream in two runs."""
     root = scratch_path(spark, "changes")
-    target, source = _changing_subscriptions(spark, folder)
-    for part in (target, source.filter("updated_at >= DATE '2010-01-01'")):
+    target, source = _two_states(spark, folder)
+    for part in (target, source.filter("updated_at >= DATE '1999-01-01'")):
         part.write.mode("append").parquet(f"{root}/in")
         stream = arriving(spark, f"{root}/in", target.schema)
         merge_stream(stream, f"{root}/out", ["subscription_id"], "updated_at", f"{root}/checkpoint").awaitTermination()

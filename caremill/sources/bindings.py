@@ -245,20 +245,22 @@ class RawTables:
 
     def payer_transitions(self, hot: HotKeys) -> DataFrame:
         """One row per customer and order day; it ends when the next begins, or three days before."""
-        row = F.struct(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("payer"))
+        # Key and one-letter status in one number: Spark aggregates numbers without sorting.
+        packed = F.col("o_orderkey") * 256 + F.ascii("o_orderstatus")
         days = (
             self.given("orders")
             .groupBy(_text("o_custkey").alias("PATIENT"), F.col("o_orderdate").cast("date").alias("starts"))
-            .agg(F.min(row).alias("row"))
+            .agg(F.min(packed).alias("packed"))
+            .select("PATIENT", "starts", F.shiftright("packed", 8).alias("key"), F.char(F.col("packed") % 256).alias("payer"))
         )
         linked = OrderedRows(days, ["PATIENT"], ["starts"], hot).neighbours(following={"next": "starts"}).frame()
-        early = F.when(F.col("row.key") % 7 == 0, F.lit(3)).otherwise(F.lit(0))
+        early = F.when(F.col("key") % 7 == 0, F.lit(3)).otherwise(F.lit(0))
         return linked.select(
             "PATIENT",
-            F.col("row.payer").alias("PAYER"),
+            F.col("payer").alias("PAYER"),
             F.lit(None).cast("string").alias("SECONDARY_PAYER"),
-            F.concat(F.lit("M"), _text(F.col("row.key") % 3)).alias("MEMBERID"),
-            F.when(F.col("row.key") % 2 == 0, F.lit("Self")).otherwise(F.lit("Guardian")).alias("PLAN_OWNERSHIP"),
+            F.concat(F.lit("M"), _text(F.col("key") % 3)).alias("MEMBERID"),
+            F.when(F.col("key") % 2 == 0, F.lit("Self")).otherwise(F.lit("Guardian")).alias("PLAN_OWNERSHIP"),
             _text("starts").alias("START_DATE"),
             _text(F.date_sub("next", early)).alias("END_DATE"),
         )

@@ -212,23 +212,13 @@ _SQL["land_drop_tier1"] = _LANDED.replace("EXTRA", f", {STAMP} AS _loaded_at")
 
 # -- syncs
 
-_MERGED = """
-  SELECT subscription_id, patient_id, plan_id, mrr_amount, if(key % 20 = 1, 'changed', status) AS status, started_at,
-         cancelled_at,
-         if(key % 5 = 0 OR key % 20 = 1, (DATE '2010-01-01' + (key % 365)::INT)::TIMESTAMP, updated_at) AS updated_at
-  FROM (SELECT *, subscription_id::BIGINT AS key FROM t_subscriptions)"""
 for _name in ("sync_merge", "sync_merge_stored", "stream_merge"):
-    _SQL[_name] = _MERGED
+    _SQL[_name] = "SELECT * EXCLUDE (_loaded_at) FROM t_subscriptions"
 _SQL["incremental_appointments"] = """
-  SELECT appointment_id, patient_id, provider_specialty, if(provider_id::BIGINT % 9 = 0, 'moved', status) AS status,
-         appointment_date, if(provider_id::BIGINT % 9 = 0, TIMESTAMP '2030-01-01', updated_at) AS updated_at
+  SELECT * REPLACE (greatest(created_at, updated_at) AS updated_at) RENAME (signup_channel AS patient_signup_channel)
   FROM m_appointments"""
-_SQL["sync_append"] = """
-  SELECT * EXCLUDE (_loaded_at) FROM t_events
-  WHERE event_id::BIGINT % 50 <> 0
-     OR event_at > (SELECT max(event_at) FROM t_events
-                    WHERE event_id::BIGINT % 50 <> 0 AND event_at < TIMESTAMP '2024-01-20')"""
-_SQL["stream_append"] = "SELECT * EXCLUDE (_loaded_at) FROM t_events"
+for _name in ("sync_append", "stream_append"):
+    _SQL[_name] = "SELECT * EXCLUDE (_loaded_at) FROM t_events"
 _SQL["sync_cursor_state"] = """
   SELECT 'patients' AS table_name, max(updated_at) AS last_value FROM t_patients
   UNION ALL SELECT 'appointments', max(updated_at) FROM t_appointments
@@ -237,27 +227,20 @@ _SQL["sync_cursor_state"] = """
   UNION ALL SELECT 'marketing_touchpoints', max(ts) FROM events
   UNION ALL SELECT 'empty', TIMESTAMP '1970-01-01'"""
 
-# Run by run and key by key: which rows were there, and what they looked like.
+# What each run saw; a version begins where the run before saw another status or nothing, and ends
+# with the first later run that does not see it.
 _SQL["snapshot_subscriptions"] = """
-  WITH states AS (
-    SELECT *, key % 13 <> 0 AS in1, key % 97 <> 0 AS in2, key % 97 <> 0 OR key % 194 = 0 AS in3,
-           key % 10 = 0 AND plan_id <> 'plus' AS replanned,
-           if(key % 11 = 0, NULL, cancelled_at) AS later_cancelled
-    FROM (SELECT *, subscription_id::BIGINT AS key FROM t_subscriptions)),
-  versions AS (
-    -- as first seen, in the first run
-    SELECT key, false AS late, 1 AS opened,
-           CASE WHEN in2 AND replanned THEN 2 WHEN NOT in2 THEN 2 END AS closed FROM states WHERE in1
-    UNION ALL  -- with the new plan, or seen for the first time
-    SELECT key, true, 2, NULL FROM states WHERE in2 AND (replanned OR NOT in1)
-    UNION ALL  -- back again, as in the beginning
-    SELECT key, false, 3, NULL FROM states WHERE NOT in2 AND in3)
-  SELECT subscription_id, patient_id, if(late AND key % 10 = 0, 'plus', plan_id) AS plan_id, mrr_amount, status,
-         started_at, if(late, later_cancelled, cancelled_at) AS cancelled_at,
-         TIMESTAMP '2024-03-01' + to_days(opened - 1) AS valid_from,
-         TIMESTAMP '2024-03-01' + to_days(closed - 1) AS valid_to,
-         md5(subscription_id || '-' || (TIMESTAMP '2024-03-01' + to_days(opened - 1))::VARCHAR) AS version_id
-  FROM versions JOIN states USING (key)"""
+  WITH runs(i, day) AS (VALUES (1, DATE '1997-01-01'), (2, DATE '1999-01-01'), (3, DATE '2001-01-01')),
+  seen AS (
+    SELECT * REPLACE (CASE WHEN cancelled_at >= day THEN 'active' ELSE status END AS status,
+                      CASE WHEN cancelled_at < day THEN cancelled_at END AS cancelled_at)
+    FROM t_subscriptions, runs WHERE started_at < day AND (cancelled_at IS NULL OR cancelled_at >= day - 365))
+  SELECT subscription_id, patient_id, plan_id, mrr_amount, status, started_at, cancelled_at, day::TIMESTAMP AS valid_from,
+         (SELECT min(r.day) FROM runs r WHERE r.i > s.i
+            AND (s.subscription_id, r.i, s.status) NOT IN (SELECT (subscription_id, i, status) FROM seen))::TIMESTAMP
+           AS valid_to,
+         md5(subscription_id || '-' || day::TIMESTAMP) AS version_id
+  FROM seen s ANTI JOIN (SELECT subscription_id, i + 1 AS i, status FROM seen) USING (subscription_id, i, status)"""
 _SQL["snapshot_stored"] = _SQL["snapshot_subscriptions"]
 
 
@@ -322,5 +305,5 @@ def oracle_sql() -> dict[str, str]:
     for name, sql in _SQL.items():
         text = with_parts(sql)
         # Queries with blocks of their own join the shared list of blocks.
-        queries[name] = text.replace("\nWITH states", ",\nstates", 1) if sql.strip().startswith("WITH") else text
+        queries[name] = text.replace("\nWITH runs", ",\nruns", 1) if sql.strip().startswith("WITH") else text
     return queries
