@@ -25,13 +25,14 @@ def history_from_events(
 
     A close before the last version's start yields a version that ends before it begins.
     """
+    first_close = closes.groupBy(key).agg(F.min(at).alias("_closed"))
     versions = (
         OrderedRows(sets.select(key, state, at, tie), [key], [at, tie], hot)
         .neighbours(following={"_next": at}, number="version")
+        .lookup(first_close)
         .frame()
     )
-    first_close = closes.groupBy(key).agg(F.min(at).alias("_closed"))
-    return versions.join(first_close, key, "left").select(
+    return versions.select(
         key,
         state,
         "version",

@@ -159,6 +159,16 @@ class OrderedRows:
 
         return self._each(lambda df: df.withColumn(name, total(self._in_key())), chunked)
 
+    def lookup(self, per_key: DataFrame) -> OrderedRows:
+        """Left-join a frame with at most one row per key. For split keys its rows are first listed
+        per chunk, so no task meets more rows of a key than one chunk has."""
+
+        def chunked(df: DataFrame) -> DataFrame:
+            places = df.select(*self.keys, CHUNK).distinct()
+            return self._join_edges(df, places.join(per_key, self.keys, "left"))
+
+        return self._each(lambda df: df.join(per_key, self.keys, "left"), chunked)
+
     def _in_key(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*self._ordering())
 

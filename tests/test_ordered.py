@@ -70,6 +70,15 @@ def test_same_with_too_many_hot_keys_to_list(spark, monkeypatch):
     assert _sorted(_actual(spark, rows, hot)) == _sorted(_expected(rows))
 
 
+@pytest.mark.parametrize("rows_per_task", [3, 10_000])
+def test_lookup_keeps_all_rows(spark, rows_per_task):
+    df = spark.createDataFrame(_rows(2), "key string, at int, v int, id int")
+    per_key = spark.createDataFrame([("hot", 1), ("a", 2), ("unused", 3)], "key string, w int")
+    found = OrderedRows(df, ["key"], ["at", "id"], find_hot_keys(df, ["key"], rows_per_task)).lookup(per_key).frame()
+    expected = [(r[0], r[3], {"hot": 1, "a": 2}.get(r[0])) for r in _rows(2)]
+    assert _sorted(tuple(r) for r in found.select("key", "id", "w").collect()) == _sorted(expected)
+
+
 def test_hot_key_is_spread_over_chunks(spark):
     df = spark.range(10_000).select(F.lit("one").alias("key"), F.col("id").alias("at"))
     ordered = OrderedRows(df, ["key"], ["at"], find_hot_keys(df, ["key"], 1000))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from caremill.plans.models import Models, register_views
 from caremill.sources.bindings import RawTables
-from compare import TABLES, connect, difference
+from compare import TABLES, connect, difference, plan_of
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
@@ -16,9 +16,7 @@ QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 MOVED = {"orders": ("o_orderkey", "o_custkey", 7), "events": ("event_id", "user_id", 8), "lineitem": ("l_partkey", "l_suppkey", 3)}
 
 
-@pytest.fixture(scope="module")
-def skewed(spark, folder, tmp_path_factory):
-    target = str(tmp_path_factory.mktemp("skewed"))
+def _skew(spark, folder: str, target: str) -> str:
     for table in TABLES:
         df = spark.read.parquet(f"{folder}/{table}.parquet")
         if table in MOVED:
@@ -29,6 +27,11 @@ def skewed(spark, folder, tmp_path_factory):
     return target
 
 
+@pytest.fixture(scope="module")
+def skewed(spark, folder, tmp_path_factory):
+    return _skew(spark, folder, str(tmp_path_factory.mktemp("skewed")))
+
+
 @pytest.fixture(scope="module")
 def skewed_duck(skewed):
     con = connect(skewed)
@@ -55,3 +58,29 @@ def test_serving_views_answer_sql_with_parameters(spark, folder):
     every, one, none = [spark.sql(by_view, args={"channel": c}).first().signups for c in ("%", "click", "no such%")]
     assert every > one > 0 and none is None
     assert spark.sql("SELECT count(*) FROM subscriptions").first()[0] == spark.table("fct_subscriptions").count()
+
+
+@pytest.mark.parametrize("name", ["int_appointments", "subscription_history"])
+def test_joins_on_a_hot_key_are_split(name, spark, tmp_path):
+    """With the sizes at which adaptive execution acts scaled down to the size of the tables."""
+    settings = {
+        "spark.caremill.rowsPerTask": "500",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        # A partition is split by the tasks that wrote it; small tables must not have just one.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    models = Models(RawTables(spark, _skew(spark, "/root/testdata/sf0.01", str(tmp_path))))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = models.appointments_enriched if name == "int_appointments" else models.subscription_history
+        df.collect()
+        assert "skew=true" in plan_of(df).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
