@@ -82,7 +82,8 @@ def active_by_group(
     df: DataFrame, start: Column, end: Column, measure: Column, days: DataFrame, day: str, by: str
 ) -> DataFrame:
     """(day, group) rows with at least one active interval, for those of ``days`` that the
-    intervals reach: from the first start to the last known end or start."""
+    intervals reach: from the first start to the last known end or start. Meant for a few groups,
+    such as plans: their daily changes pass through one task."""
     changes = daily_changes(df, start, end, measure, by=(by,))
     # From here on: at most one row per group and day.
     whole = Window.partitionBy()
