@@ -48,10 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the cluster names none (single-machine tests) a temporary folder is made.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="caremill-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="caremill-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 
@@ -63,8 +64,9 @@ def durable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows, and columns such as a partition number, stay fixed if
     an executor is lost or the plan is read twice."""
     spark = df.sparkSession
+    folder = shared_dir(spark)
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
 
