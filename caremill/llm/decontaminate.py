@@ -111,7 +111,7 @@ def longest_matches(words: W.Words, tests: Tests) -> pa.Array:
     same = [x[1:] == x[:-1] for x in (text, first, item, shift)]
     new[1:] = ~(np.logical_and.reduce(same) & (np.diff(at) == 1)) if len(at) else True
     head = np.flatnonzero(new)
-    last = np.append(head[1:], len(at)) - 1
+    last = np.append(head[1:], len(at))[: len(head)] - 1
     size = at[last] + tests.size[window[last]] - at[head]
     names = pa.array(tests.names, pa.string())
     values = pa.StructArray.from_arrays(
