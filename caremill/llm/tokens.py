@@ -14,11 +14,10 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-from caremill.llm.words import ranges, text_bytes
+from caremill.llm.words import text_bytes
 
-#: Words, and ids of words, that a worker keeps; when there are more it starts afresh between two blocks.
-KEPT_WORDS = 1_000_000
-KEPT_IDS = 8_000_000
+#: Words that a worker keeps; when there are more it starts afresh between two blocks.
+KEPT_WORDS = 1_500_000
 
 _SPACE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 # Bytes that begin white space beyond ASCII, and control characters that some patterns take for white space.
@@ -40,19 +39,23 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class _Kept(dict):
-    """Number of a word's ids, encoded when first asked for."""
+    """The ids of a word as bytes, encoded when first asked for."""
 
     def __init__(self, encoder: Encoder, before: bytes) -> None:
         self.encoder, self.before = encoder, before
 
-    def __missing__(self, word: bytes) -> int:
-        stem = word.rstrip(_MARKS)
-        if 0 < len(stem) < len(word) and stem[-1:].isalnum():
-            ids = [*self.encoder.ids_of(self[stem]), *self.encoder.ids_of(self.encoder.plain[word[len(stem) :]])]
+    def __missing__(self, word: bytes) -> bytes:
+        encoder, stem = self.encoder, word.rstrip(_MARKS)
+        lines = word.split(b"\n") if encoder.spaced else [word]
+        if len(lines) > 1 and all(lines):
+            # A line end between two words is a piece of its own, and no space stands before the second.
+            ids = self[lines[0]] + b"".join(encoder.plain[b"\n"] + encoder.plain[line] for line in lines[1:])
+        elif 0 < len(stem) < len(word) and stem[-1:].isalnum():
+            ids = self[stem] + encoder.plain[word[len(stem) :]]
         else:
-            ids = self.encoder.word_ids(self.before, word)
-        number = self[word] = self.encoder.keep(ids)
-        return number
+            ids = encoder.word_ids(self.before, word)
+        self[word] = ids
+        return ids
 
 
 class Encoder:
@@ -71,56 +74,41 @@ class Encoder:
 
     def clear(self) -> None:
         self.plain, self.after_space = _Kept(self, b""), _Kept(self, b" ")
-        self.store, self.offset, self.size = array("I"), array("q"), array("q")
 
-    def library_ids(self, text: bytes) -> list[int]:
-        return self.library.encode(text.decode(), add_special_tokens=False).ids
+    def library_ids(self, text: bytes) -> bytes:
+        return array("I", self.library.encode(text.decode(), add_special_tokens=False).ids).tobytes()
 
-    def word_ids(self, before: bytes, word: bytes) -> list[int]:
+    def word_ids(self, before: bytes, word: bytes) -> bytes:
         """A word of Latin letters is one piece for the pattern, so the merges can be asked for directly."""
         text = word.decode()
         if not text.isascii() and self.normalizer:
             text = self.normalizer.normalize_str(text)
         if text.isalpha() and max(text) < "\u0250":
             letters = (before + text.encode()).decode("latin-1").translate(_BYTE_LETTERS)
-            return [token.id for token in self.model.tokenize(letters)]
+            return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
         return self.library_ids(before + word)
 
-    def keep(self, ids: list[int]) -> int:
-        self.offset.append(len(self.store))
-        self.size.append(len(ids))
-        self.store.extend(ids)
-        return len(self.size) - 1
-
-    def ids_of(self, number: int) -> array:
-        return self.store[self.offset[number] : self.offset[number] + self.size[number]]
-
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts as uint32, bounds of each); every text is followed by ``end_id``. Null is empty."""
-        if len(self.plain) + len(self.after_space) > KEPT_WORDS or len(self.store) > KEPT_IDS:
+        if len(self.plain) + len(self.after_space) > KEPT_WORDS:
             self.clear()
         data, bounds = text_bytes(texts)
-        end = self.keep([end_id])
-        raw, numbers, counts = data.tobytes(), [], np.zeros(len(bounds) - 1, np.int64)
+        end = array("I", [end_id]).tobytes()
+        raw, plain, after_space = data.tobytes(), self.plain.__getitem__, self.after_space.__getitem__
         whole = self._uncertain(data, bounds) if self.spaced else ()
-        for i in range(len(counts)):
-            text = raw[bounds[i] : bounds[i + 1]]
-            before = len(numbers)
+        encoded = []
+        for i, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            text = raw[lo:hi]
             if i in whole:
-                numbers.append(self.keep(self.library_ids(text)))
+                ids = self.library_ids(text)
             elif self.spaced:
                 first, *rest = text.split(b" ")
-                if first:
-                    numbers.append(self.plain[first])
-                numbers.extend(map(self.after_space.__getitem__, rest))
+                ids = (plain(first) if first else b"") + b"".join(map(after_space, rest))
             else:
-                numbers.extend(map(self.plain.__getitem__, text.lower().split()))
-            numbers.append(end)
-            counts[i] = len(numbers) - before
-        number = np.array(numbers, np.int64)
-        size, offset = np.array(self.size)[number], np.array(self.offset)[number]
-        ids = np.array(self.store, np.uint32)[ranges(offset, size)]
-        return ids, np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+                ids = b"".join(map(plain, text.lower().split()))
+            encoded.append(ids + end)
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        return np.frombuffer(b"".join(encoded), np.uint32), np.concatenate([[0], np.cumsum(sizes)])
 
     def _uncertain(self, data: np.ndarray, bounds: np.ndarray) -> set[int]:
         """Texts in which a cut before each space might not be the pattern's: a space between other white
