@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from caremill.llm.decontaminate import op10_decontamination
 from caremill.llm.idfiles import op6_token_ids
+from caremill.llm.language import op8_language_id
 from caremill.llm.pack import op2_packing
+from caremill.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op2_packing": op2_packing,
     "op6_token_ids": op6_token_ids,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
     "op10_decontamination": op10_decontamination,
 }
 
