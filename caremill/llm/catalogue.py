@@ -5,6 +5,7 @@ from __future__ import annotations
 from caremill.llm.decontaminate import op10_decontamination
 from caremill.llm.idfiles import op6_token_ids
 from caremill.llm.language import op8_language_id
+from caremill.llm.near import op4_near_dedup
 from caremill.llm.pack import op2_packing
 from caremill.llm.repeats import op3_substring_dedup
 from caremill.llm.suffixes import op9_suffix_dedup
@@ -13,6 +14,7 @@ from caremill.llm.toxicity import op7_toxicity
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op6_token_ids": op6_token_ids,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,

@@ -162,27 +162,6 @@ def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFram
     return documents.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(run, _TEXT)
 
 
-def by_seed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """Rows that are sorted by seed, in tables of about ``rows`` rows that hold all rows of their seeds."""
-    kept: list[pa.RecordBatch] = []
-    n = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        kept.append(batch)
-        n += batch.num_rows
-        if n < rows:
-            continue
-        seeds = np.array(batch.column("seed"))
-        cut = int(np.searchsorted(seeds, seeds[-1]))
-        if cut == 0 and np.array(kept[0].column("seed"))[0] == seeds[-1]:
-            continue
-        yield pa.Table.from_batches([*kept[:-1], batch.slice(0, cut)])
-        kept, n = [batch.slice(cut)], batch.num_rows - cut
-    if n:
-        yield pa.Table.from_batches(kept)
-
-
 @dataclass
 class Windows:
     """All windows of some phrases: window i is the ``t[i]``-th of phrase ``of[i]`` and begins at word ``at[i]``."""
@@ -250,7 +229,7 @@ def recurring(documents: DataFrame, window: int, k: int, shard: Callable[[pa.Tab
     ``documents``: doc_id, text, one row per id. ``shard`` finds the runs among the phrases of some seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in by_seed(batches, SHARD_PHRASES):
+        for table in W.by_key(batches, "seed", SHARD_PHRASES):
             yield shard(table)
 
     found = candidates(documents, window, k)
