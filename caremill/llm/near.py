@@ -7,7 +7,8 @@ deviations is compared on the full sets.
 
 Links are found in two steps, and never all pairs of a group are made. First, documents with equal sets
 are one, and in each bucket every member is compared with the smallest. Then, only in buckets whose members are
-still in several components, members of different components are compared, block by block with bitmaps.
+still in several components, members of different components are compared, block by block, by bitmaps
+and then on the full sets; what leaves a block are the links that join two components.
 
 Cases: null texts and texts without words have the empty set and are linked with nothing; texts with fewer words
 than a shingle are one shingle; rows without doc_id are no documents; of rows that repeat an id the one with
@@ -159,31 +160,67 @@ def confirmed(pairs: DataFrame, documents: DataFrame, least: int = LEAST) -> Dat
     return with_a.mapInArrow(run, "a bigint, b bigint")
 
 
-def between_components(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of one bucket (band, doc_id, component, sketch, n members) that are in different
-    components and whose sketches do not rule them out. A bucket is dealt out in pairs of blocks."""
+def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, shingles (the whole set) of the documents in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in W.by_key(batches, "key", 4 * BLOCK):
-            key, doc_id, component, side = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "side"))
-            sketch = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64)
-            sketch = sketch.reshape(len(key), -1)
+        for batch in batches:
+            for part, text in W.blocks(batch, batch.column("text")):
+                sets = shingle_sets(text)
+                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                flat = pa.array(np.concatenate(sets).view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["doc_id", "shingles"]
+                )
+
+    wanted = documents.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+    return wanted.mapInArrow(run, "doc_id bigint, shingles array<bigint>")
+
+
+def between_components(members: DataFrame, least: int = LEAST) -> DataFrame:
+    """Links (a, b) between members of one bucket (band, place of the band, doc_id, component, bands, sketch, shingles, n
+    members) that are in different components. A bucket is dealt out in pairs of blocks. Two documents
+    are compared in the first bucket they share: by sketches, then on their full sets. A link that joins
+    what a block has joined already is left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in W.by_key(batches, "key", BLOCK):
+            key, doc_id, component, side, place = (
+                table.column(c).to_numpy() for c in ("key", "doc_id", "component", "side", "place")
+            )
+            component = component.copy()
+            sketch, keys = (
+                table.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
+                for c in ("sketch", "bands")
+            )
+            sets = table.column("shingles").combine_chunks()
+            shingles = sets.flatten().to_numpy().view(np.uint64)
+            size = sets.value_lengths().to_numpy().astype(np.int64)
+            at = np.cumsum(size) - size
             head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            found = []
+            links: list[tuple[int, int]] = []
             for lo, hi in zip(head.tolist(), [*head[1:].tolist(), len(key)]):
                 for i in range(lo, hi):
                     # Rows of one block meet each other; rows of two blocks meet those of the other one.
                     other = np.arange(i + 1, hi)
                     other = other[(component[other] != component[i]) & ((side[other] != side[i]) | (side[i] == 2))]
-                    differ = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1)
-                    near = other[differ <= MOST_BITS]
-                    if len(near):
-                        found.append((np.full(len(near), doc_id[i]), doc_id[near]))
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-                )
+                    other = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1) <= MOST_BITS]
+                    other = other[~(keys[other, : place[i]] == keys[i, : place[i]]).any(axis=1)]
+                    if not len(other):
+                        continue
+                    own = shingles[at[i] : at[i] + size[i]]
+                    theirs = shingles[W.ranges(at[other], size[other])]
+                    same = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                    common = np.add.reduceat(same, np.cumsum(size[other]) - size[other], dtype=np.int64)
+                    linked = other[100 * common >= least * (size[i] + size[other] - common)]
+                    for k in linked.tolist():
+                        if component[k] != component[i]:
+                            links.append((int(doc_id[i]), int(doc_id[k])))
+                            mine = component[lo:hi]
+                            mine[mine == component[k]] = component[i]
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     parts = members.withColumn("parts", F.expr(f"CAST(ceil(n / {BLOCK}) AS INT)")).withColumn(
         "own", F.expr("CAST(pmod(xxhash64(doc_id), parts) AS INT)")
@@ -193,11 +230,14 @@ def between_components(members: DataFrame) -> DataFrame:
         "xxhash64(band, least(own, other), greatest(own, other)) AS key",
         # 2: block with itself.
         "CASE WHEN own = other THEN 2 WHEN own < other THEN 0 ELSE 1 END AS side",
+        "place",
         "doc_id",
         "component",
+        "bands",
         "sketch",
+        "shingles",
     )
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -210,10 +250,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     one = every.join(same.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi")
     one = stored(one.select("doc_id", "bands", "sketch"), "representatives")
     sketches = one.select("doc_id", "sketch")
-    rows = one.select("doc_id", F.explode("bands").alias("band"))
+    rows = one.select("doc_id", F.posexplode("bands").alias("place", "band"))
     buckets = rows.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
     buckets = stored(buckets.filter("n > 1"), "buckets")
-    star = rows.join(buckets, "band").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    star = rows.drop("place").join(buckets, "band").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     links = stored(confirmed(estimated(star, sketches), documents), "links")
 
     # Buckets of three and more whose members the stars did not bring together.
@@ -224,8 +264,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     members = stored(members.withColumn("component", F.coalesce("component", "doc_id")), "members")
     open_ones = members.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     open_ones = stored(open_ones.filter("lo < hi").select("band"), "open")
-    rest = members.join(open_ones, "band", "left_semi").join(sketches, "doc_id")
-    more = confirmed(between_components(rest), documents)
+    rest = members.join(open_ones, "band", "left_semi")
+    sets = full_sets(documents, rest.select("doc_id").distinct())
+    more = between_components(rest.join(one.join(sets, "doc_id"), "doc_id"))
     found = components(links.unionByName(more))
 
     classes = every.select("doc_id", *marks).join(same, marks, "left")

@@ -169,20 +169,23 @@ def blocks(batch: pa.RecordBatch, texts: pa.Array, limit: int = BLOCK_BYTES) ->
 def by_key(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
     """Rows that are sorted by a 64-bit key, in tables of about ``rows`` rows that hold all rows of their keys."""
     kept: list[pa.RecordBatch] = []
-    n = 0
+    n, enough = 0, rows
     for batch in batches:
         if not batch.num_rows:
             continue
         kept.append(batch)
         n += batch.num_rows
-        if n < rows:
+        if n < enough:
             continue
-        keys = np.array(batch.column(key))
+        table = pa.Table.from_batches(kept)
+        keys = table.column(key).to_numpy()
         cut = int(np.searchsorted(keys, keys[-1]))
-        if cut == 0 and np.array(kept[0].column(key))[0] == keys[-1]:
+        if cut == 0:
+            # One key so far: look again when there is twice as much of it.
+            enough = 2 * n
             continue
-        yield pa.Table.from_batches([*kept[:-1], batch.slice(0, cut)])
-        kept, n = [batch.slice(cut)], batch.num_rows - cut
+        yield table.slice(0, cut)
+        kept, n, enough = table.slice(cut).to_batches(), n - cut, rows
     if n:
         yield pa.Table.from_batches(kept)
 
