@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from caremill.llm import licences
 from caremill.llm.decontaminate import op10_decontamination
 from caremill.llm.idfiles import op6_token_ids
 from caremill.llm.language import op8_language_id
@@ -10,11 +11,14 @@ from caremill.llm.pack import op2_packing
 from caremill.llm.repeats import op3_substring_dedup
 from caremill.llm.suffixes import op9_suffix_dedup
 from caremill.llm.toxicity import op7_toxicity
+from caremill.llm.vectors import op5_embedding_dedup
 
 QUERIES = {
+    "op1_license_scan": licences.op1_license_scan,
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_near_dedup": op4_near_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_token_ids": op6_token_ids,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
@@ -22,4 +26,4 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_license_scan": licences.oracle()}
