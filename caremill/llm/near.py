@@ -242,7 +242,7 @@ def between_components(members: DataFrame, least: int = LEAST) -> DataFrame:
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links lead to), kept, for each document."""
-    documents = one_row_per_id(documents)
+    documents = one_row_per_id(documents).select("doc_id", "text")
     every = stored(signatures(documents), "signatures")
     marks = ["mark1", "mark2", "n_shingles"]
     same = every.filter("n_shingles > 0").groupBy(*marks).agg(F.min("doc_id").alias("copy_of"))
@@ -275,6 +275,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return classes.select("doc_id", "n_shingles", component).withColumn("kept", F.expr("doc_id = component_id"))
 
 
+def without_near_duplicates(documents: DataFrame) -> DataFrame:
+    """One document of each group of near-duplicates, unchanged: the one with the smallest id."""
+    documents = one_row_per_id(documents)
+    kept = near_duplicates(documents).filter("kept").select("doc_id")
+    return documents.join(kept, "doc_id", "left_semi").select(*documents.columns)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

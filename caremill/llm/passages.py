@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caremill.llm import words as W
@@ -65,14 +65,16 @@ def phrases(words: W.Words, window: int, k: int) -> Phrases:
 
 
 def one_row_per_id(documents: DataFrame) -> DataFrame:
-    """doc_id and text of each document. Rows without id are no documents; of rows that repeat an id, the one
-    with the smallest text counts (a null text only if there is no other)."""
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    """Each document, with all its columns. Rows without id are no documents; of rows that repeat an id, the one with
+    the smallest text counts (a null text only if there is no other)."""
+    rows = documents.withColumn("doc_id", F.col("doc_id").cast("bigint")).filter("doc_id IS NOT NULL")
     repeated = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if repeated.isEmpty():
         return rows
-    once = rows.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(rows.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+    rest = [F.col(f"`{c}`").asc_nulls_last() for c in rows.columns if c not in ("doc_id", "text")]
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *rest)
+    again = rows.join(repeated, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(first))
+    return rows.join(repeated, "doc_id", "left_anti").unionByName(again.filter("_rank = 1").drop("_rank"))
 
 
 def candidates(documents: DataFrame, window: int, k: int) -> DataFrame:
@@ -232,6 +234,7 @@ def recurring(documents: DataFrame, window: int, k: int, shard: Callable[[pa.Tab
         for table in W.by_key(batches, "seed", SHARD_PHRASES):
             yield shard(table)
 
+    documents = documents.select("doc_id", "text")
     found = candidates(documents, window, k)
     texts = phrase_texts(documents, distinct_phrases(found), window)
     runs = texts.repartition("seed").sortWithinPartitions("seed").mapInArrow(run, _RUNS)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from caremill.llm import words as W
 from caremill.llm.passages import Windows, one_row_per_id, recurring
@@ -26,6 +27,8 @@ from caremill.llm.storage import configure
 
 WINDOW = 20
 SEED_WORDS = 4
+# A name that no column of the documents has.
+_REMOVED = "_removed_windows_of_document"
 
 
 def locate(passages: set[tuple[int, ...]], texts: list[tuple[int, ...]], window: int) -> list[int]:
@@ -77,8 +80,8 @@ def repeats(documents: DataFrame, window: int = WINDOW, seed_words: int = SEED_W
 
 
 def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text (the words that are kept, with one space between them), n_words and n_removed of each document,
-    all words removed that a repeated window covers. Nothing is removed from first places."""
+    """Each document as the struct ``row``, with kept_text (the words that are kept, with one space between them), n_words
+    and n_removed. All words that a repeated window covers are removed; nothing is at first places."""
     documents = one_row_per_id(documents)
     removed = repeats(documents, window).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "windows")).alias("removed")
@@ -86,7 +89,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, text in W.blocks(batch, batch.column("text")):
+            for part, text in W.blocks(batch, batch.column("row").field("text")):
                 words = W.split_words(text, W.NOT_SPACE)
                 lists = part.column("removed").fill_null([])
                 run, n = lists.flatten(), np.array(lists.value_lengths())
@@ -100,19 +103,25 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                 left = W.Words(words.data, words.start[kept], words.end[kept], before[words.first])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"),
+                        part.column("row"),
                         left.join(left.first[:-1], left.first[1:]).cast(pa.string()),
                         pa.array(words.counts),
                         pa.array(words.counts - left.counts),
                     ],
-                    ["doc_id", "text", "n_words", "n_removed"],
+                    ["row", *added.names],
                 )
 
-    joined = documents.join(removed, "doc_id", "left").select("doc_id", "text", "removed")
-    return joined.mapInArrow(run, "doc_id bigint, text string, n_words bigint, n_removed bigint")
+    # The documents' columns are packed above the join, so that the rows of its other use are shuffled once.
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    joined = documents.join(removed.withColumnRenamed("removed", _REMOVED), "doc_id", "left")
+    joined = joined.select(row, F.col(_REMOVED).alias("removed"))
+    added = _parse_datatype_string("kept_text string, n_words bigint, n_removed bigint")
+    return joined.mapInArrow(run, StructType([joined.schema["row"], *added]))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return without_repeats(documents).selectExpr("doc_id", "n_words", "n_removed", "sha2(text, 256) AS kept_sha256")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return without_repeats(documents).selectExpr(
+        "row.doc_id", "n_words", "n_removed", "sha2(kept_text, 256) AS kept_sha256"
+    )
