@@ -21,7 +21,6 @@ An empty table makes no shard. Other columns are not looked at.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,10 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caremill.llm.storage import configure
+from caremill.llm.storage import configure, scratch
 from caremill.llm.tokens import encoder
 from caremill.llm.words import blocks, mix, ranges
-from caremill.session import scratch_path
 
 MAGIC = 0x3130534449544B4F
 #: Bits per key and level; more of them mean fewer levels.
@@ -241,6 +239,6 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     configure(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = scratch_path(spark, "ids")
+    folder = scratch(spark, "ids")
     shards = write(documents, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read(shards).selectExpr("doc_id", "start", "length(ids) div 4 AS n_tokens", "crc32(ids) AS ids_crc32")

@@ -27,13 +27,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one that goes when the session's program ends."""
+    path = scratch_path(spark, f"llm-{name}")
+    atexit.register(_delete, spark, path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its rows stay whatever executor is lost, and
     are computed once. The folder goes when the session's program ends, or with ``dropped``."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
+    path = scratch(spark, name)
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
     schema = StructType.fromJson(df.schema.jsonValue())
     read = spark.read.schema(schema).parquet(path)
     read._stored_at = path
