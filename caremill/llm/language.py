@@ -31,6 +31,8 @@ LONGEST = 5
 #: Words, and n-grams of each length, that the model keeps: the most frequent ones.
 MOST_WORDS = 60_000
 MOST_GRAMS = 20_000
+#: Distinct words of its blocks that a task sums up before it hands them on.
+KEPT_KEYS = 500_000
 #: Negative log10 frequency of what a language does not have (with the model's bounds all others are below).
 PENALTY = 9.0
 UNKNOWN = "und"
@@ -152,12 +154,12 @@ def count(texts: DataFrame) -> DataFrame:
                         g, word = word_grams(codes, start, end, k)
                         kept.setdefault((lang, k), []).append(_summed(g, n[word]))
                     size += len(keys)
-            if size > 2_000_000:
+            if size > KEPT_KEYS:
                 yield from out()
                 size = 0
         yield from out()
 
-    counted = texts.select("lang", "text").mapInArrow(run, "kind int, lang string, key bigint, n bigint")
+    counted = texts.select("lang", "text").mapInArrow(W.trimmed(run), "kind int, lang string, key bigint, n bigint")
     return counted.groupBy("kind", "lang", "key").agg(F.sum("n").alias("n"))
 
 

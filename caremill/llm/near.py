@@ -131,7 +131,7 @@ def signatures(documents: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "mark1", "mark2", "bands", "sketch"],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(run, _SIGNATURE)
+    return documents.select("doc_id", "text").mapInArrow(W.trimmed(run), _SIGNATURE)
 
 
 def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -155,9 +155,12 @@ def confirmed(pairs: DataFrame, documents: DataFrame, least: int = LEAST) -> Dat
                     keep.append(common > 0 and 100 * common >= least * (len(x) + len(y) - common))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    # Neither side is small by itself: the same join at every size.
+    pairs = pairs.hint("merge")
     with_b = pairs.join(documents, pairs.b == documents.doc_id).select("a", "b", F.col("text").alias("text_b"))
+    with_b = with_b.hint("merge")
     with_a = with_b.join(documents, with_b.a == documents.doc_id).select("a", "b", F.col("text").alias("text_a"), "text_b")
-    return with_a.mapInArrow(run, "a bigint, b bigint")
+    return with_a.mapInArrow(W.trimmed(run), "a bigint, b bigint")
 
 
 def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
@@ -173,8 +176,9 @@ def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
                     [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["doc_id", "shingles"]
                 )
 
-    wanted = documents.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    return wanted.mapInArrow(run, "doc_id bigint, shingles array<bigint>")
+    # Not small by itself: the same join at every size.
+    wanted = documents.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
+    return wanted.mapInArrow(W.trimmed(run), "doc_id bigint, shingles array<bigint>")
 
 
 def between_components(members: DataFrame, least: int = LEAST) -> DataFrame:
@@ -237,7 +241,7 @@ def between_components(members: DataFrame, least: int = LEAST) -> DataFrame:
         "sketch",
         "shingles",
     )
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(W.trimmed(run), "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -279,7 +283,7 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, unchanged: the one with the smallest id."""
     documents = one_row_per_id(documents)
     kept = near_duplicates(documents).filter("kept").select("doc_id")
-    return documents.join(kept, "doc_id", "left_semi").select(*documents.columns)
+    return documents.join(kept.hint("merge"), "doc_id", "left_semi").select(*documents.columns)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from caremill.llm.tokens import encoder
+from caremill.llm.tokens import KEPT_WORDS, encoder
 from caremill.llm.words import blocks
 
 CAPACITY = 1024
@@ -88,12 +88,14 @@ def deal(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         windows += 1
 
 
-def pack(documents: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
+def pack(
+    documents: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, kept_words: int = KEPT_WORDS
+) -> DataFrame:
     """One row for each piece: its document, place in the document and in a sequence, and its ids as
-    little-endian unsigned 32-bit numbers."""
+    little-endian unsigned 32-bit numbers. ``kept_words`` trades a worker's memory for time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, spaced=True).encode
+        encode = encoder(vocabulary, True, kept_words).encode
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []
         tokens = 0

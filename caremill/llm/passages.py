@@ -101,7 +101,7 @@ def candidates(documents: DataFrame, window: int, k: int) -> DataFrame:
                 )
 
     fields = "seed bigint, print bigint, doc_id bigint, start int, windows smallint, ahead smallint"
-    rows = documents.select("doc_id", "text").mapInArrow(run, fields)
+    rows = documents.select("doc_id", "text").mapInArrow(W.trimmed(run), fields)
     recurring = stored(rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "seeds")
     return stored(rows.join(recurring, "seed", "left_semi"), "phrases")
 
@@ -161,7 +161,7 @@ def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFram
                     ["seed", "print", "doc_id", "start", "again", "ahead", "phrase"],
                 )
 
-    return documents.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(run, _TEXT)
+    return documents.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(W.trimmed(run), _TEXT)
 
 
 @dataclass
@@ -237,7 +237,7 @@ def recurring(documents: DataFrame, window: int, k: int, shard: Callable[[pa.Tab
     documents = documents.select("doc_id", "text")
     found = candidates(documents, window, k)
     texts = phrase_texts(documents, distinct_phrases(found), window)
-    runs = texts.repartition("seed").sortWithinPartitions("seed").mapInArrow(run, _RUNS)
+    runs = texts.repartition("seed").sortWithinPartitions("seed").mapInArrow(W.trimmed(run), _RUNS)
     places = found.select("seed", "print", "doc_id", "start").join(
         runs.withColumnRenamed("windows", "length"), ["seed", "print"]
     )

@@ -113,10 +113,10 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
     # The documents' columns are packed above the join, so that the rows of its other use are shuffled once.
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    joined = documents.join(removed.withColumnRenamed("removed", _REMOVED), "doc_id", "left")
+    joined = documents.join(removed.withColumnRenamed("removed", _REMOVED).hint("merge"), "doc_id", "left")
     joined = joined.select(row, F.col(_REMOVED).alias("removed"))
     added = _parse_datatype_string("kept_text string, n_words bigint, n_removed bigint")
-    return joined.mapInArrow(run, StructType([joined.schema["row"], *added]))
+    return joined.mapInArrow(W.trimmed(run), StructType([joined.schema["row"], *added]))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

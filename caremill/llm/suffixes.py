@@ -104,7 +104,7 @@ def matches(documents: DataFrame, least: int = LEAST, seed_words: int = SEED_WOR
             )
 
     fields = "doc_id bigint, start bigint, n_words bigint, source_doc_id bigint, source_start bigint"
-    return per_document.mapInArrow(run, fields)
+    return per_document.mapInArrow(W.trimmed(run), fields)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,14 +62,14 @@ class Encoder:
     """``spaced``: a byte-level vocabulary, in which a word holds the space before it. Else white space is
     dropped and A-Z are lower-cased by the vocabulary itself."""
 
-    def __init__(self, path: str, spaced: bool) -> None:
+    def __init__(self, path: str, spaced: bool, kept_words: int = KEPT_WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
         self.model, self.normalizer = self.library.model, self.library.normalizer
-        self.spaced = spaced
+        self.spaced, self.kept_words = spaced, kept_words
         self.clear()
 
     def clear(self) -> None:
@@ -90,7 +90,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts as uint32, bounds of each); every text is followed by ``end_id``. Null is empty."""
-        if len(self.plain) + len(self.after_space) > KEPT_WORDS:
+        if len(self.plain) + len(self.after_space) > self.kept_words:
             self.clear()
         data, bounds = text_bytes(texts)
         end = array("I", [end_id]).tobytes()
@@ -129,11 +129,12 @@ class Encoder:
         return found
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, kept_words: int = KEPT_WORDS) -> Encoder:
     """The worker's encoder for a vocabulary file; it is read once in each worker."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = Encoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    key = path, spaced, kept_words
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]

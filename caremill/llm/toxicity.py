@@ -166,7 +166,7 @@ def _counts(texts: DataFrame, known: Known | None) -> DataFrame:
     def rows(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
-    counted = texts.select("text").mapInArrow(run, "key bigint, n bigint")
+    counted = texts.select("text").mapInArrow(W.trimmed(run), "key bigint, n bigint")
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -183,7 +183,7 @@ def _feature_rows(texts: DataFrame, known: Known) -> list[np.ndarray]:
                     [pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature.astype(np.int32)))], ["features"]
                 )
 
-    table = texts.mapInArrow(run, "features array<int>").toArrow()
+    table = texts.mapInArrow(W.trimmed(run), "features array<int>").toArrow()
     return [row.values.to_numpy() for row in table.column("features")] if table.num_rows else []
 
 

@@ -5,6 +5,7 @@ All functions work on a block of texts that a Spark task holds for a moment; ``b
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Bytes of text that are taken apart at a time. One longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def _byte_set(keep: Callable[[int], bool]) -> np.ndarray:
@@ -190,6 +191,25 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[p
         yield pa.Table.from_batches(kept)
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which the worker's unused memory goes back: Spark keeps workers for the next task."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return whole
+
+
 ROW = "row"
 
 
@@ -212,4 +232,4 @@ def annotate(
                 columns = result(part, text)
                 yield pa.RecordBatch.from_arrays([part.column(0), *[columns[k] for k in kinds]], [ROW, *kinds])
 
-    return packed.mapInArrow(run, StructType([packed.schema[ROW], *added]))
+    return packed.mapInArrow(trimmed(run), StructType([packed.schema[ROW], *added]))
