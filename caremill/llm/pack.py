@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from caremill.llm.tokens import KEPT_WORDS, encoder
-from caremill.llm.words import blocks
+from caremill.llm.words import blocks, trimmed
 
 CAPACITY = 1024
 #: A document's rest is halved until a piece has less than twice this: pieces of all sizes balance best.
@@ -89,13 +89,20 @@ def deal(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 
 
 def pack(
-    documents: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, kept_words: int = KEPT_WORDS
+    documents: DataFrame,
+    vocabulary: str,
+    end_id: int,
+    capacity: int = CAPACITY,
+    kept_words: int = KEPT_WORDS,
+    keep_between_tasks: bool = True,
 ) -> DataFrame:
     """One row for each piece: its document, place in the document and in a sequence, and its ids as
-    little-endian unsigned 32-bit numbers. ``kept_words`` trades a worker's memory for time."""
+    little-endian unsigned 32-bit numbers. ``kept_words`` and ``keep_between_tasks`` (words that a worker knows
+    when its next task begins) trade a worker's memory for time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, True, kept_words).encode
+        coder = encoder(vocabulary, True, kept_words)
+        encode = coder.encode
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []
         tokens = 0
@@ -146,6 +153,8 @@ def pack(
                     sequence += len(full)
         if waiting:
             yield packed(waiting)
+        if not keep_between_tasks:
+            coder.clear()
 
     def alone(pieces: list[tuple], sequence: int) -> pa.RecordBatch:
         n = len(pieces)
@@ -162,7 +171,7 @@ def pack(
             columns, ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         )
 
-    return documents.select("doc_id", "text").mapInArrow(run, PIECES)
+    return documents.select("doc_id", "text").mapInArrow(trimmed(run), PIECES)
 
 
 def digest(pieces: DataFrame) -> DataFrame:
