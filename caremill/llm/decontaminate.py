@@ -13,7 +13,6 @@ those named are carried along or ignored, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 from caremill.llm import words as W
 
@@ -177,31 +175,26 @@ class _Empty:
     value: Tests
 
 
+# Words in at least one match: matches in order, each adding what reaches beyond the ones before it.
+_N_HIT = """aggregate(
+    sort_array(transform(matches, m -> struct(m.doc_start AS lo, m.doc_start + m.n_words AS hi))),
+    struct(0L AS covered, 0L AS reach),
+    (s, m) -> struct(s.covered + greatest(0L, m.hi - greatest(m.lo, s.reach)) AS covered,
+                     greatest(s.reach, m.hi) AS reach),
+    s -> s.covered)"""
+
+
 def judged(found: DataFrame) -> DataFrame:
     """Beside ``verbatim_matches``: words hit, the items that occur, and whether the row is contaminated (at
     least one word in 20 is hit)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_hit, n_items, digests = [], [], []
-            for matches in batch.column("matches").to_pylist():
-                covered, reach = 0, 0
-                for lo, size in sorted((m["doc_start"], m["n_words"]) for m in matches):
-                    covered += max(0, lo + size - max(lo, reach))
-                    reach = max(reach, lo + size)
-                items = sorted({m["item_id"] for m in matches})
-                n_hit.append(covered)
-                n_items.append(len(items))
-                digests.append(hashlib.sha256(",".join(items).encode()).hexdigest())
-            columns = [batch.column(c) for c in batch.schema.names]
-            new = [pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns + new, [*batch.schema.names, "n_hit", "n_items", "items_sha256"])
-
-    added = _parse_datatype_string("n_hit bigint, n_items bigint, items_sha256 string")
-    schema = StructType([*found.schema, *added])
-    return found.mapInArrow(run, schema).withColumn(
-        "contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words")
-    )
+    items = F.sort_array(F.array_distinct(F.col("matches.item_id")))
+    return found.withColumns(
+        {
+            "n_hit": F.expr(_N_HIT),
+            "n_items": F.size(items).cast("bigint"),
+            "items_sha256": F.sha2(F.array_join(items, ","), 256),
+        }
+    ).withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
