@@ -10,6 +10,8 @@ from caremill.functions.values import row_key
 from caremill.operators.ordered import OrderedRows
 from caremill.operators.skew import HotKeys
 
+FAR_FUTURE = "9999-12-31"
+
 
 def fold_intervals(
     df: DataFrame,
@@ -21,7 +23,8 @@ def fold_intervals(
     gap_days: int = 0,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Periods of ``value`` per ``key`` over half-open intervals [start, end); a NULL end is open.
+    """Periods of ``value`` per ``key`` over half-open intervals [start, end); a NULL end is open, and
+    so is 9999-12-31 at the end of a period.
 
     A row opens a period when its value differs from the row before (or that one had none), or
     when more than ``gap_days`` lie between the end of the row before and its start. A row after
@@ -42,7 +45,10 @@ def fold_intervals(
         F.max_by(carried, place).alias(f"last_{carried}"),
         F.count_distinct(carried).alias(f"distinct_{carried}s"),
         F.min(start).alias("_from"),
-        F.when(F.count(end) == F.count(F.lit(1)), F.max(end)).alias("_to"),
+        # The far-future day stands for an open end.
+        F.when(
+            F.count(end) == F.count(F.lit(1)), F.nullif(F.max(end), F.lit(FAR_FUTURE).cast(df.schema[end].dataType))
+        ).alias("_to"),
         F.count(F.lit(1)).alias("source_row_count"),
         # The period with the last row of its key is the latest one, open or not.
         F.bool_or("_is_last").alias("is_latest"),

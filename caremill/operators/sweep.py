@@ -14,18 +14,26 @@ from pyspark.sql import functions as F
 
 
 def daily_changes(
-    df: DataFrame, start: Column, end: Column, measure: Column, by: tuple[str, ...] = (), first: Column | None = None
+    df: DataFrame,
+    start: Column,
+    end: Column,
+    measure: Column,
+    by: tuple[str, ...] = (),
+    first: Column | None = None,
+    counted: Column | None = None,
 ) -> DataFrame:
     """Net change per day (and group) of active intervals, of intervals with a measure, and of
-    the measure's sum. Both ends are dates; a NULL end never comes off; empty and inverted
+    the measure's sum, in the measure's own type. Only intervals where ``counted`` is not NULL are counted as
+    active; their measure is summed all the same. Both ends are dates; a NULL end never comes off; empty and inverted
     intervals count nothing. What happens before ``first`` is counted on that day. Kept per day
-    as well, over all intervals: the last start and the last known end or start (``reach``)."""
-    counts = F.when(start < F.coalesce(end, F.date_add(start, 1)), F.lit(1)).otherwise(F.lit(0))
-    priced = F.when(measure.isNotNull(), counts).otherwise(F.lit(0))
-    amount = (F.coalesce(measure, F.lit(0)) * counts).cast("bigint")
+    as well, over all intervals: the last start."""
+    lasts = start < F.coalesce(end, F.date_add(start, 1))
+    counts = F.when(lasts if counted is None else lasts & counted.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    priced = F.when(lasts & measure.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    amount = F.when(lasts & measure.isNotNull(), measure).otherwise(F.lit(0))
     no_date = F.lit(None).cast("date")
 
-    def change(at: Column, sign: int, started: Column, reach: Column) -> Column:
+    def change(at: Column, sign: int, started: Column) -> Column:
         # greatest() would turn "no day" into ``first``.
         counted_on = at if first is None else F.when(at.isNotNull(), F.greatest(at, first))
         return F.struct(
@@ -34,10 +42,9 @@ def daily_changes(
             (priced * sign).alias("priced"),
             (amount * sign).alias("amount"),
             started.alias("started"),
-            reach.alias("reach"),
         )
 
-    both = F.array(change(start, 1, start, F.coalesce(end, start)), change(end, -1, no_date, no_date))
+    both = F.array(change(start, 1, start), change(end, -1, no_date))
     return (
         df.select(*by, F.explode(both).alias("c"))
         .filter(F.col("c.day").isNotNull())
@@ -47,16 +54,17 @@ def daily_changes(
             F.sum("c.priced").alias("priced"),
             F.sum("c.amount").alias("amount"),
             F.max("c.started").alias("last_start"),
-            F.max("c.reach").alias("reach"),
         )
     )
 
 
-def active_by_day(df: DataFrame, start: Column, end: Column, measure: Column, first: date, day: str) -> DataFrame:
+def active_by_day(
+    df: DataFrame, start: Column, end: Column, measure: Column, first: date, day: str, counted: Column | None = None
+) -> DataFrame:
     """Active, priced and amount for each day from ``first`` to the last start, 0 where nothing is
     active. The calendar is filled in between the daily changes, so the intervals are read once."""
     opening = F.lit(first)
-    changes = daily_changes(df, start, end, measure, first=opening)
+    changes = daily_changes(df, start, end, measure, first=opening, counted=counted)
     # From here on: at most one row per calendar day, so a single task is enough.
     whole, by_day = Window.partitionBy(), Window.orderBy("day")
     running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -82,11 +90,10 @@ def active_by_group(
     df: DataFrame, start: Column, end: Column, measure: Column, days: DataFrame, day: str, by: str
 ) -> DataFrame:
     """(day, group) rows with at least one active interval, for those of ``days`` that the
-    intervals reach: from the first start to the last known end or start. Meant for a few groups,
-    such as plans: their daily changes pass through one task."""
+    intervals reach: from the first start to the last known end or start. Each group's daily changes, at most
+    one row per day, pass through one task."""
     changes = daily_changes(df, start, end, measure, by=(by,))
-    # From here on: at most one row per group and day.
-    whole = Window.partitionBy()
+    reach = df.agg(F.max(F.when(start.isNotNull(), F.coalesce(end, start)))).scalar()
     in_group = Window.partitionBy(by).orderBy("day")
     running = in_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     states = changes.select(
@@ -96,9 +103,8 @@ def active_by_group(
         F.sum("priced").over(running).alias("priced"),
         F.sum("amount").over(running).alias("amount"),
         F.date_sub(F.lead("day").over(in_group), 1).alias("_until"),
-        F.max("reach").over(whole).alias("_reach"),
     )
-    until = F.least(F.coalesce("_until", "_reach"), F.col("_reach"))
+    until = F.least(F.coalesce(F.col("_until"), reach), reach)
     return (
         states.filter((F.col("active") > 0) & (F.col("day") <= until))
         .select(by, F.explode(F.sequence("day", until)).alias(day), "active", "priced", "amount")

@@ -33,26 +33,28 @@ def rows_after(source: DataFrame, cursor: str, last_value: Column, lookback_days
     return source.filter(column > since)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], cursor: str, first: str | None = None) -> DataFrame:
-    """The row with the highest cursor per key (or with the highest ``first``, then cursor). Spark prunes each task's rows to the best one of
-    a key before the shuffle, so many copies of one key stay cheap."""
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in (*keys, cursor, first)]
-    order = [F.col(cursor).cast(TIMESTAMP).desc_nulls_last(), *rest]
-    if first:
-        order.insert(0, F.col(first).desc_nulls_last())
+def latest_per_key(df: DataFrame, keys: list[str], cursor: str, then: str | None = None) -> DataFrame:
+    """The row with the highest cursor per key (of equal ones, with the highest ``then``). Spark prunes each
+    task's rows to the best one of a key before the shuffle, so many copies of one key stay cheap."""
+    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in (*keys, cursor, then)]
+    second = [F.col(then).desc_nulls_last()] if then else []
+    order = [F.col(cursor).cast(TIMESTAMP).desc_nulls_last(), *second, *rest]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def merge_by_key(target: DataFrame, delta: DataFrame, keys: list[str], cursor: str) -> DataFrame:
-    """Target rows whose key is not in the delta, and the latest delta row of each key.
+    """Target rows whose key is not in the delta, and of each key in the delta the latest row of
+    both: the one with the highest cursor, of equal ones the delta's. A late, older row changes nothing.
 
     Applying the same delta again changes nothing. The target is not shuffled when the delta's
     keys are few enough for Spark to broadcast them.
     """
-    newest = latest_per_key(delta, keys, cursor)
-    kept = target.join(delta.select(*keys).distinct(), keys, "left_anti")
-    return kept.select(*target.columns).unionByName(newest)
+    touched = delta.select(*keys).distinct()
+    kept = target.join(touched, keys, "left_anti")
+    old = target.join(touched, keys, "left_semi").select(*target.columns, F.lit(0).alias("_run"))
+    newest = latest_per_key(old.unionByName(delta.withColumn("_run", F.lit(1))), keys, cursor, then="_run")
+    return kept.select(*target.columns).unionByName(newest.drop("_run"))
 
 
 def append_after(target: DataFrame, source: DataFrame, cursor: str) -> DataFrame:
@@ -89,7 +91,8 @@ def snapshot(
 
     old = previous.filter("valid_to IS NULL").select(F.struct(*previous.columns).alias("old"), F.col(key).alias("_old"))
     new = current.select(F.struct(*content).alias("new"), F.col(key).alias("_new"))
-    pairs = old.join(new, F.col("_old") == F.col("_new"), "full")
+    # A NULL key is a key like others.
+    pairs = old.join(new, F.col("_old").eqNullSafe(F.col("_new")), "full")
     changed = reduce(Column.__or__, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in watched])
     is_new, is_gone = F.col("old").isNull(), F.col("new").isNull()
     replaced = ~is_new & ~is_gone & changed

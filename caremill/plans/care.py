@@ -141,12 +141,14 @@ def fct_mrr_daily(subscriptions: DataFrame, as_of: date, start: date = REVENUE_S
     """Active subscriptions and recurring revenue per day, at each subscription's current price."""
     runs_to = F.coalesce("cancelled_at", F.lit(as_of + timedelta(days=1)))
     daily = active_by_day(
-        subscriptions.filter("subscription_id IS NOT NULL"),
+        subscriptions,
         F.col("started_at"),
         runs_to,
         F.col("mrr_amount"),
         start,
         "calendar_date",
+        # A row without an id is not counted, but its revenue is.
+        counted=F.col("subscription_id"),
     )
     return daily.select(
         "calendar_date",

@@ -243,7 +243,7 @@ def land_text(spark: SparkSession, folder: str) -> DataFrame:
 def land_glob(spark: SparkSession, folder: str) -> DataFrame:
     """A folder of CSV files read as one table; postal codes keep their leading zeros."""
     path = scratch_path(spark, "export")
-    RawTables(spark, folder).clinical_patients().repartition(4).write.option("header", True).csv(path)
+    RawTables(spark, folder).clinical_patients().write.option("header", True).csv(path)
     return landing.read_text_csv(spark, path)
 
 
@@ -251,7 +251,7 @@ def land_glob(spark: SparkSession, folder: str) -> DataFrame:
 def land_drop_tier1(spark: SparkSession, folder: str) -> DataFrame:
     """The same folder landed without direct identifiers."""
     path = scratch_path(spark, "export")
-    RawTables(spark, folder).clinical_patients().repartition(4).write.option("header", True).csv(path)
+    RawTables(spark, folder).clinical_patients().write.option("header", True).csv(path)
     return landing.stamp(landing.drop_identifiers(landing.read_text_csv(spark, path)), bindings.LOADED_AT)
 
 

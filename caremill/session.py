@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,11 +47,13 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (single-machine tests) a temporary folder is made.
+    Only on a single machine (a local master, as in tests) a temporary folder is made where none is named.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="caremill-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")
@@ -68,10 +71,3 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
-
-
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """A table read in fewer tasks than there are cores, spread by its key over all of them for
-    heavy row work. Tables of the size a cluster is for are read in more and are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)

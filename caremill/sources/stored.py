@@ -37,7 +37,8 @@ def finished(spark: SparkSession, root: str, below: int | None = None) -> Row |
         raise
     if below is not None:
         log = log.filter(F.col("version") < below)
-    newest = log.agg(*[F.max(name).alias(name) for name in log.columns]).first()
+    # One whole line: the newest version, and of lines with one version the newest base.
+    newest = log.agg(F.max(F.struct(*log.columns)).alias("line")).select("line.*").first()
     return None if newest.version is None else newest
 
 
@@ -73,8 +74,11 @@ def read_stored(
     runs = F.col("_run").between(state.base + 1, state.version)
     schema = StructType([*base.schema.fields, StructField("_run", LongType())])
     deltas = spark.read.schema(schema).parquet(f"{root}/delta").filter(runs)
-    newest = latest_per_key(deltas, keys, cursor, first="_run").select(*base.columns)
-    kept = base.join(deltas.select(*keys).distinct(), keys, "left_anti").select(*base.columns)
+    # By cursor, then by arrival: a late, older row does not replace a newer one.
+    touched = deltas.select(*keys).distinct()
+    old = base.join(touched, keys, "left_semi").select(*base.columns, F.lit(0).cast("bigint").alias("_run"))
+    newest = latest_per_key(old.unionByName(deltas), keys, cursor, then="_run").select(*base.columns)
+    kept = base.join(touched, keys, "left_anti").select(*base.columns)
     return kept.unionByName(newest)
 
 

@@ -139,8 +139,9 @@ _PERIODS = """
          any_value(payer_id) AS payer_id, first(member_id ORDER BY valid_from) AS first_member_id,
          last(member_id ORDER BY valid_from) AS last_member_id,
          count(DISTINCT member_id) AS distinct_member_ids, min(member_id) <> max(member_id) AS member_id_was_reissued,
-         min(valid_from) AS valid_from, if(bool_or(valid_to IS NULL), NULL, max(valid_to)) AS valid_to,
-         if(bool_or(valid_to IS NULL), NULL, max(valid_to) - min(valid_from)) AS coverage_days,
+         min(valid_from) AS valid_from,
+         if(bool_or(valid_to IS NULL), NULL, nullif(max(valid_to), DATE '9999-12-31')) AS valid_to,
+         if(bool_or(valid_to IS NULL), NULL, nullif(max(valid_to), DATE '9999-12-31') - min(valid_from)) AS coverage_days,
          count(*) AS source_row_count, seq = openings AS is_current_period
   FROM (SELECT usable.*, opening.seq, opening.openings
         FROM (SELECT * FROM t_cover WHERE NOT is_invalid_interval) usable
@@ -186,8 +187,9 @@ PARTS["m_attribution"] = """
 
 PARTS["m_dim_patients"] = """
   SELECT patient_id, state, gender,
-         CASE WHEN age BETWEEN 25 AND 64 THEN format('{}-{}', (age - 5) // 10 * 10 + 5, (age - 5) // 10 * 10 + 14)
-              WHEN age < 25 THEN '18-24' ELSE '65+' END AS age_band,
+         -- Fixed values: the bands and their labels.
+         CASE WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44'
+              WHEN age < 55 THEN '45-54' WHEN age < 65 THEN '55-64' ELSE '65+' END AS age_band,
          signed_up_at::DATE AS signup_date,
          make_date(year(signed_up_at), month(signed_up_at), 1)::TIMESTAMP AS signup_cohort_month, signup_channel,
          first_touch_channel, last_touch_channel, coalesce(touch_count, 0) AS marketing_touch_count,

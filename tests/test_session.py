@@ -11,6 +11,7 @@ def _session(named: str | None) -> Mock:
     """A session whose context remembers its checkpoint folder."""
     session, folder = Mock(), []
     session.conf.get.return_value = named
+    session.sparkContext.master = "local[2]"
     session.sparkContext.setCheckpointDir.side_effect = folder.append
     session.sparkContext.getCheckpointDir.side_effect = lambda: folder[-1] if folder else None
     return session
