@@ -80,8 +80,9 @@ def find(words: W.Words, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
     place = np.minimum(np.searchsorted(tests.vocabulary, h), len(tests.vocabulary) - 1)
     symbols = np.where(tests.vocabulary[place] == h, place + 1, 0)
     # Words until the next one that no test has, or the end of the text: no match is longer.
-    stops = np.union1d(np.flatnonzero(symbols == 0), words.first[1:])
-    run = stops[np.searchsorted(stops, np.arange(len(h)))] - np.arange(len(h))
+    here = np.arange(len(h))
+    unknown = np.append(np.flatnonzero(symbols == 0), len(h))
+    run = np.minimum(unknown[np.searchsorted(unknown, here)], np.repeat(words.first[1:], words.counts)) - here
     shortest = np.full(len(tests.vocabulary) + 1, np.iinfo(np.int64).max)
     np.minimum.at(shortest, tests.symbols[tests.at], tests.size)
     suffixes = np.flatnonzero(run >= shortest[symbols])
