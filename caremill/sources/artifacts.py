@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def artifact_columns(spark: SparkSession, root: str) -> DataFrame:
-    """(artifact, column_name, files) for each folder below ``root`` with Parquet files.
+    """(artifact, column_name, files) for each table folder below ``root`` with Parquet files, partition columns
+    included.
 
     The files are only listed, and their footers merged per folder by Spark tasks; the data is
     not read. Files whose schemas cannot be merged are looked at one by one. A root without
@@ -20,7 +21,8 @@ def artifact_columns(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(root)
-        .select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "path")
+        # The folder of the table: partition folders (key=value) below it are columns.
+        .select(F.regexp_replace("path", "(/[^/=]+=[^/]*)*/[^/]*$", "").alias("folder"), "path")
     )
     rows: list[tuple[str, str, int]] = []
     # One row per published table.
@@ -31,9 +33,9 @@ def artifact_columns(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _columns(spark: SparkSession, files: DataFrame, folder: str) -> set[str]:
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", folder)
     try:
         return set(reader.option("mergeSchema", True).parquet(folder).columns)
     except (PySparkException, Py4JJavaError):
         paths = files.filter(F.col("folder") == folder).select("path").toLocalIterator()
-        return {column for row in paths for column in spark.read.parquet(row["path"]).columns}
+        return {column for row in paths for column in reader.parquet(row["path"]).columns}

@@ -13,6 +13,7 @@ from caremill.operators.fold import fold_intervals
 from caremill.operators.versions import merge_by_key, snapshot
 from caremill.plans.care import fct_mrr_daily
 from caremill.sources import stored
+from caremill.sources.artifacts import artifact_columns
 
 
 def test_revenue_keeps_fractions_and_rows_without_id(spark):
@@ -69,6 +70,14 @@ def test_a_far_future_end_is_open(spark):
     assert (period.valid_to, period.days, period.source_row_count) == (None, None, 2)
 
 
+def test_partition_columns_are_published_columns(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "02139", "MA"), (2, "10001", "NY")], "id int, zip string, state string")
+    rows.write.partitionBy("state", "zip").parquet(str(tmp_path / "nested" / "patients"))
+    rows.select("id").write.parquet(str(tmp_path / "plain"))
+    found = {(r.artifact, r.column_name) for r in artifact_columns(spark, str(tmp_path)).collect()}
+    assert found == {("patients", "id"), ("patients", "state"), ("patients", "zip"), ("plain", "id")}
+
+
 def test_a_cluster_has_to_name_the_shared_folder():
     spark = Mock()
     spark.conf.get.return_value = None
