@@ -1,9 +1,11 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, which are normalised (lower case; runs of anything but letters, digits and dots within
-numbers become one space) and looked up among known licence sentences. A document's known sentences,
+A text is cut into pieces at line ends and marks. They are normalised (lower case; runs of anything but letters, digits
+and dots within numbers become one space), and known licence sentences are looked up as runs of whole pieces, so that it
+does not matter where a text wraps its lines or has a colon. A document's known sentences,
 in order, are then matched against the ordered licence rules, each a sequence of sentence identifiers:
 at each place the first rule in the order that fits there is taken, and the sentences it has matched are not used again.
+Blank lines, comment signs and list marks between the sentences of a rule do not count.
 
 All of it is DataFrame code on single rows; nothing is shuffled.
 
@@ -119,10 +121,21 @@ RULES = [
     ("GPL-3.0-or-later", ["spdx-gpl-3"]),
 ]
 
-#: A sentence ends at a line end, or at a mark before white space or the end of the text.
+#: A piece ends at a line end, or at a mark before white space or the end of the text.
 SENTENCE_END = r"[.!?;:](\s|\z)"
-#: Only sentences with one of these can be known, so the others are not normalised.
+#: The mark of a list entry in brackets, as in "1) " or "(a) ", is a piece of its own; "1. " is one by its dot.
+LIST_MARK = r"(?m)^([^\p{Alnum}\n]*(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\))[ \t]"
+#: What may stand between two sentences of a rule: nothing, or one list mark.
+GAP = r"\n*(?:(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})\n)?"
+#: Only texts with one of these can have a known sentence, so the others are not normalised.
 HINT = "(?i)license|redistribut|this program|permission|copyright"
+#: Any known sentence as whole pieces of a normalised text, the longest that fits. Pieces may end between any two words.
+KNOWN = "(?<![^\n])({})(?![^\n])".format(
+    "|".join(
+        sentence.replace(".", "[.]").replace(" ", "[ \n]")
+        for sentence in sorted({sentence for _, sentence in SENTENCES}, key=lambda x: (-len(x), x))
+    )
+)
 
 
 def normalised(sentence: Column) -> Column:
@@ -132,15 +145,15 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(s, " +", " "))
 
 
-def rule_matches(tokens: Column, places: Column) -> Column:
+def rule_matches(tokens: Column, follows: Column) -> Column:
     """The names of the rules that match the list ``tokens``, greedily from the left. Sentences of a rule follow one
-    another: ``places`` are their numbers among the text's sentences."""
+    another: ``follows`` says of each whether it does so directly."""
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, ids)).alias("ids")) for name, ids in RULES])
 
     def step(state: Column, i: Column) -> Column:
         def fits(rule: Column) -> Column:
             n = F.size(rule["ids"])
-            in_row = F.element_at(places, F.least(i + n - 1, F.size(places))) - F.element_at(places, i) == n - 1
+            in_row = F.forall(F.slice(follows, i + 1, n - 1), lambda x: x)
             return (F.slice(tokens, i, n) == rule["ids"]) & in_row
 
         rule = F.get(F.filter(rules, fits), F.lit(0))
@@ -156,25 +169,26 @@ def rule_matches(tokens: Column, places: Column) -> Column:
 def scan(documents: DataFrame) -> DataFrame:
     """Each row of ``documents`` (text) as the struct ``row``, with tokens (its known sentences in order) and licences
     (those of the rules that match, in order)."""
-    text = F.coalesce("text", F.lit(""))
-    sentences = F.split(F.regexp_replace(text, SENTENCE_END, "\n"), "\n")
+    text = F.when(F.col("text").rlike(HINT), F.col("text")).otherwise("")
+    pieces = F.split(F.regexp_replace(F.regexp_replace(text, LIST_MARK, "$1\n"), SENTENCE_END, "\n"), "\n")
+    plain = F.array_join(F.filter(F.transform(pieces, normalised), lambda s: s != ""), "\n")
+    # Normal forms have no @: what is between two of them is a known sentence, or what lies between known sentences.
+    parts = F.split(F.regexp_replace(plain, KNOWN, "@$1@"), "@")
     table = F.create_map(*[F.lit(x) for token, sentence in SENTENCES for x in (sentence, token)])
-    places = F.filter(
-        F.transform(sentences, lambda s, i: F.struct(i.alias("place"), s.alias("sentence"))),
-        lambda x: x["sentence"].rlike(HINT),
-    )
-    named = F.filter(
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    found = documents.select(row, parts.alias("parts")).select(
+        "row",
         F.transform(
-            places,
-            lambda x: F.struct(x["place"].alias("place"), table[normalised(x["sentence"])].alias("token")),
-        ),
-        lambda x: x["token"].isNotNull(),
+            F.filter("parts", lambda _, i: i % 2 == 1), lambda s: table[F.translate(s, "\n", " ")]
+        ).alias("tokens"),
+        F.transform(
+            F.filter("parts", lambda _, i: i % 2 == 0), lambda s: s.rlike(rf"\A{GAP}\z")
+        ).alias("follows"),
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    found = documents.select(row, named.alias("named"))
-    tokens, numbers = F.col("named.token"), F.col("named.place")
-    licences = F.when(F.size("named") == 0, F.array().cast("array<string>")).otherwise(rule_matches(tokens, numbers))
-    return found.select("row", tokens.alias("tokens"), licences.alias("licences"))
+    licences = F.when(F.size("tokens") == 0, F.array().cast("array<string>")).otherwise(
+        rule_matches(F.col("tokens"), F.col("follows"))
+    )
+    return found.select("row", "tokens", licences.alias("licences"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +204,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in DuckDB's SQL, from the same fixed values."""
+    """The same in DuckDB's SQL, from the same fixed values, for texts whose known sentences stand on one line each."""
 
     def text(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"

@@ -284,6 +284,92 @@ def test_licences(spark, documents, empty):
     assert licences.scan(documents).filter("size(tokens) > 0").count() == 0 and licences.scan(empty).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+BSD_TEXT = """ * Copyright (c) 2020, Someone. All rights reserved.
+ *
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+ *
+ * 1. Redistributions of source code must retain the above copyright notice, this
+ *    list of conditions and the following disclaimer.
+ *
+ * 2. Redistributions in binary form must reproduce the above copyright notice,
+ *    this list of conditions and the following disclaimer in the documentation
+ *    and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """ *
+ * 3. Neither the name of the copyright holder nor the names of its
+ *    contributors may be used to endorse or promote products derived from
+ *    this software without specific prior written permission.
+"""
+APACHE_TEXT = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def test_whole_licence_texts(spark):
+    """Standard texts as they stand in files: wrapped lines, blank lines, colons, comment signs, list marks."""
+    brackets = BSD_TEXT.replace("1. ", "1) ").replace("2. ", "(b) ") + BSD_THIRD.replace("3. ", "iii) ")
+    expected = [
+        (MIT_TEXT, ["MIT"]),
+        (MIT_TEXT.replace("\n", "\r\n"), ["MIT"]),
+        (BSD_TEXT, ["BSD-2-Clause"]),
+        (BSD_TEXT + BSD_THIRD, ["BSD-3-Clause"]),
+        (brackets, ["BSD-3-Clause"]),
+        (APACHE_TEXT, ["Apache-2.0"]),
+        (GPL_TEXT, ["GPL-3.0-or-later"]),
+        (GPL_TEXT.replace("software:", "software;").replace("version 3", "version 2"), ["GPL-2.0-or-later"]),
+        ("// SPDX-License-Identifier: MIT\n", ["MIT"]),
+        ("x = 1  \n/* SPDX-License-Identifier: Apache-2.0 */", ["Apache-2.0"]),
+        ("# SPDX-License-Identifier: GPL-3.0-or-later", ["GPL-3.0-or-later"]),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", []),
+        # A line before it without a mark, and a version on a line of its own.
+        ("a | b |\nThis work is licensed under the GNU General Public License, version\n3.", ["GPL-3.0"]),
+        (MIT_TEXT + GPL_TEXT + APACHE_TEXT, ["MIT", "GPL-3.0-or-later", "Apache-2.0"]),
+        # Sentences of a rule with others in between are no notice.
+        (MIT_TEXT.replace("The above", "Be kind.\n\nThe above"), []),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(expected)], "doc_id int, text string")
+    found = {r.doc_id: r for r in licences.scan(df).select("row.doc_id", "tokens", "licences").collect()}
+    for i, (text, names) in enumerate(expected):
+        assert found[i].licences == names, text
+    assert found[6].tokens == ["gpl-free-software", "gpl-3-or-later", "gpl-hope", "gpl-details"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage on its own input, against brute force where it removes something."""
     rows = [(i, t, "xy" if i % 2 else None, "s", len(t or "")) for i, t in PLAIN]
