@@ -231,6 +231,29 @@ def test_language(spark, empty):
     assert language.identify(df, nothing).select("lang_pred").distinct().collect()[0][0] == "und"
 
 
+def test_language_keeps_rare_words(spark):
+    """What is broadcast changes no result, and a large language does not push a small one's words out."""
+    rng = random.Random(5)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    rows = [(i, text("abcdefgh", 20), "large") for i in range(300)]
+    rows += [(1000 + i, text("fghijké", 15), "small") for i in range(40)] + [(None, "fgfg hijk", "small")]
+    rows += [(2000, "", "small"), (2001, None, "large"), (2002, "12 !?", None), (2003, "zzz Ξξ 𐐀𐐁", None), (2004, "zz fgh", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = language.learned_from(df)
+
+    def found(model):
+        rows = language.identify(df, model).select("row.doc_id", "row.lang", "lang_pred", "score").collect()
+        return sorted((r.doc_id or -1, r.lang or "", r.lang_pred, round(r.score, 9)) for r in rows)
+
+    whole = found(language.fit(learned))
+    assert found(language.fit(learned, most_words=20, most_grams=6)) == whole
+    assert found(language.fit(learned, most_words=1, most_grams=1)) == whole
+    assert sum(lang == pred for _, lang, pred, _ in whole if lang == "small") > 35
+
+
 def test_toxicity(spark, empty):
     rng = random.Random(0)
     vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(500)]
