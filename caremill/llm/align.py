@@ -262,7 +262,7 @@ def alignment(documents: DataFrame, byte_path: str, piece_path: str, chunk_bytes
         one, two = _vocabulary(ByteLevel, byte_path), _vocabulary(Pieces, piece_path)
         chunk, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for rows, texts in W.blocks(batch, batch.column(0)):
+            for rows, texts in W.blocks(batch, batch.column(0), min(chunk_bytes, W.BLOCK_BYTES)):
                 found = align(one, two, texts.to_pylist())
                 if size >= chunk_bytes:
                     chunk, size = chunk + 1, 0

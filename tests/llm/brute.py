@@ -137,3 +137,75 @@ def near_vectors(rows, least=0.93):
         n[a] += 1
         n[b] += 1
     return [(i, n[i], found[i], found[i] == i) for i, _, _ in rows]
+
+
+def top_inner(rows, k, is_query, scale=256):
+    """rows: (vec_id, vector or None). (query_id, rank, vec_id, score)."""
+    usable = {}
+    for i, v in rows:
+        if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        x = [int(np.floor(scale * np.float64(c))) for c in v]
+        usable[i] = min(x, usable.get(i, x))
+    out = []
+    for q, x in usable.items():
+        if is_query(q):
+            others = [(-sum(a * b for a, b in zip(x, y)), i) for i, y in usable.items() if i != q and len(y) == len(x)]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(others)[:k], 1)]
+    return sorted(out)
+
+
+def aligned_tokens(text, one, two, byte_of):
+    """((id, bytes) of one's tokens, of two's), or two empty lists where their bytes are not those of the text."""
+    if not text:
+        return [], []
+    a = one.encode(" " + text, add_special_tokens=False)
+    first = [(i, bytes(byte_of[c] for c in t)) for i, t in zip(a.ids, a.tokens)]
+    second = []
+    for i in two.encode(text):
+        piece = two.id_to_piece(i)
+        second.append((i, bytes([int(piece[3:5], 16)]) if two.is_byte(i) else piece.replace("▁", " ").encode()))
+    whole = (" " + text).encode()
+    same = b"".join(t for _, t in first) == whole == b"".join(t for _, t in second)
+    return (first, second) if same else ([], [])
+
+
+def alignments(documents, one, two, byte_of):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)."""
+    per, counts = [], defaultdict(int)
+    for doc, text in documents:
+        first, second = aligned_tokens(text, one, two, byte_of)
+        spans = []
+        for tokens in (first, second):
+            at, own = 0, []
+            for i, t in tokens:
+                own.append((i, at, at + len(t)))
+                at += len(t)
+            spans.append(own)
+        links, j = [], 0
+        for i, lo, hi in spans[0]:
+            while spans[1][j][2] <= lo:
+                j += 1
+            m = j
+            while m < len(spans[1]) and spans[1][m][1] < hi:
+                links.append((i, spans[1][m][0]))
+                m += 1
+        ends = sorted({s[2] for s in spans[0]} & {s[2] for s in spans[1]})
+        cells = [[[], []] for _ in ends]
+        for side, own in enumerate(spans):
+            k = 0
+            for i, _, hi in own:
+                while ends[k] < hi:
+                    k += 1
+                cells[k][side].append(str(i))
+        groups = ["|".join(map(",".join, cell)) for cell in cells]
+        for p in set(links):
+            counts[p] += 1
+        per.append((doc, len(first), len(second), links, groups))
+    best = defaultdict(int)
+    for (a, _), n in counts.items():
+        best[a] = max(best[a], n)
+    return [
+        (doc, a, b, len(g), len(links), sum(counts[p] == best[p[0]] for p in links), sum(counts[p] for p in links), ";".join(g))
+        for doc, a, b, links, g in per
+    ]
