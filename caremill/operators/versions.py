@@ -43,6 +43,13 @@ def latest_per_key(df: DataFrame, keys: list[str], cursor: str, then: str | None
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
+def same_keys(rows: DataFrame, keys_of: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``rows`` semi- or anti-joined to a table of keys; a NULL is a key like others."""
+    renamed = keys_of.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = reduce(Column.__and__, [rows[k].eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    return rows.join(renamed, same, how)
+
+
 def merge_by_key(target: DataFrame, delta: DataFrame, keys: list[str], cursor: str) -> DataFrame:
     """Target rows whose key is not in the delta, and of each key in the delta the latest row of
     both: the one with the highest cursor, of equal ones the delta's. A late, older row changes nothing.
@@ -51,8 +58,8 @@ def merge_by_key(target: DataFrame, delta: DataFrame, keys: list[str], cursor: s
     keys are few enough for Spark to broadcast them.
     """
     touched = delta.select(*keys).distinct()
-    kept = target.join(touched, keys, "left_anti")
-    old = target.join(touched, keys, "left_semi").select(*target.columns, F.lit(0).alias("_run"))
+    kept = same_keys(target, touched, keys, "left_anti")
+    old = same_keys(target, touched, keys, "left_semi").select(*target.columns, F.lit(0).alias("_run"))
     newest = latest_per_key(old.unionByName(delta.withColumn("_run", F.lit(1))), keys, cursor, then="_run")
     return kept.select(*target.columns).unionByName(newest.drop("_run"))
 

@@ -6,7 +6,8 @@ Each takes a session and a folder of test tables and returns a DataFrame over th
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from caremill.session import configure, scratch_path
 from caremill.sources import bindings, landing, stored
 from caremill.sources.artifacts import artifact_columns
 from caremill.sources.bindings import RawTables
-from caremill.streaming.sync import append_stream, arriving, merge_stream
+from caremill.streaming.sync import append_stream, arriving, merge_stream, once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -309,38 +310,77 @@ def _log_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return log.filter("event_at < DATE '2024-01-20'"), log
 
 
+@query
+def sync_merge_lookback(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored sync when some rows reach the source late, with a cursor the sync has passed: a later run reads the
+    last 300 days again and takes each key's latest row once. What is later still is missed. Here the source shows paused
+    subscriptions late."""
+    root = scratch_path(spark, "late")
+    source = Models(RawTables(spark, folder)).subscriptions.drop("_loaded_at")
+    for state in (source.filter("status <> 'paused'"), source, source):
+        stored.sync_merge(state, root, ["subscription_id"], "updated_at", lookback_days=300)
+    return stored.read_stored(spark, root, ["subscription_id"], "updated_at")
+
+
+def _log_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(stored, source): the event log up to a day, and as a whole."""
+    log = Models(RawTables(spark, folder)).subscription_events.drop("_loaded_at")
+    return log.filter("event_at < DATE '2024-01-20'"), log
+
+
 @query
 def sync_append(spark: SparkSession, folder: str) -> DataFrame:
     target, source = _log_parts(spark, folder)
     return versions.append_after(target, source, "event_at")
 
 
+@query
+def sync_append_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through a stored log: a run that dies before its log line is written, its retry, and a run that finds
+    nothing new."""
+    root = scratch_path(spark, "events")
+    first, log = _log_parts(spark, folder)
+    stored.sync_append(first, root, "event_at")
+    # What a run leaves that died half-way.
+    log.filter("event_at >= DATE '2024-01-20'").write.parquet(f"{root}/rows/_run=2")
+    for _ in range(2):
+        stored.sync_append(log, root, "event_at")
+    return stored.read_appended(spark, root)
+
+
+@query
+def sync_append_recent(spark: SparkSession, folder: str) -> DataFrame:
+    """What the stored log has past a day, from the files that hold any of it."""
+    root = scratch_path(spark, "events")
+    for part in _log_parts(spark, folder):
+        stored.sync_append(part, root, "event_at")
+    return stored.read_appended(spark, root, "event_at", datetime(2024, 1, 25))
+
+
 @query
 def sync_cursor_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored cursor of each incrementally synced table."""
+    """Stored cursor of each incrementally synced table, from the logs of their syncs; no data file is opened."""
     m = Models(RawTables(spark, folder))
-    cursors = {
-        "patients": (m.patients, "updated_at"),
-        "appointments": (m.appointments, "updated_at"),
-        "subscriptions": (m.subscriptions, "updated_at"),
-        "subscription_events": (m.subscription_events, "event_at"),
-        "marketing_touchpoints": (m.touchpoints, "event_at"),
-        "empty": (m.touchpoints.filter("event_at IS NULL"), "event_at"),
-    }
+    merged = {"patients": (m.patients, "patient_id"), "appointments": (m.appointments, "appointment_id")}
+    merged["subscriptions"] = (m.subscriptions, "subscription_id")
+    appended = {"subscription_events": m.subscription_events, "marketing_touchpoints": m.touchpoints}
+    appended["empty"] = m.touchpoints.filter("event_at IS NULL")
+    root = scratch_path(spark, "cursors")
+    for name, (df, key) in merged.items():
+        stored.sync_merge(df, f"{root}/{name}", [key], "updated_at")
+    for name, df in appended.items():
+        stored.sync_append(df, f"{root}/{name}", "event_at")
     states = [
-        versions.cursor_of(df, cursor).select(F.lit(name).alias("table_name"), "last_value")
-        for name, (df, cursor) in cursors.items()
+        stored.cursor_in_log(spark, f"{root}/{name}").select(F.lit(name).alias("table_name"), "last_value")
+        for name in (*merged, *appended)
     ]
-    result = states[0]
-    for state in states[1:]:
-        result = result.unionByName(state)
-    return result
+    return reduce(DataFrame.unionByName, states)
 
 
 @query
 def incremental_appointments(spark: SparkSession, folder: str) -> DataFrame:
-    """The appointment fact as built one day, brought up to date. What was booked by then but not
-    yet held was scheduled; what was booked later was not there."""
+    """The stored appointment fact as built one day, brought up to date by months, with a last run that finds nothing new.
+    What was booked by then but not yet held was scheduled; what was booked later was not there."""
     fact = Models(RawTables(spark, folder)).fct_appointments
     source = fact.withColumn("updated_at", F.greatest("created_at", "updated_at"))
     build_day = F.lit("2000-01-01").cast("timestamp_ntz")
@@ -351,7 +391,10 @@ def incremental_appointments(spark: SparkSession, folder: str) -> DataFrame:
             "updated_at": F.when(open_then, F.col("created_at")).otherwise(F.col("updated_at")),
         }
     )
-    return versions.refresh_incrementally(first_build, source, ["appointment_id"], "updated_at")
+    root = scratch_path(spark, "fct_appointments")
+    for state in (first_build, source, source):
+        stored.refresh_partitions(state, root, ["appointment_id"], "updated_at", "appointment_month")
+    return stored.read_partitioned(spark, root)
 
 
 WATCHED = ["plan_id", "mrr_amount", "status"]
@@ -404,6 +447,18 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(log.schema).parquet(f"{root}/out")
 
 
+@query
+def stream_append_lookback(spark: SparkSession, folder: str) -> DataFrame:
+    """The event log taken in as a stream whose second run brings the last days again: each event is taken once."""
+    root = scratch_path(spark, "late-log")
+    first, log = _log_parts(spark, folder)
+    for part in (first, log.filter("event_at >= DATE '2024-01-17'")):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = once(arriving(spark, f"{root}/in", log.schema), ["event_id"], "event_at", lookback_days=5)
+        append_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(log.schema).parquet(f"{root}/out")
+
+
 @query
 def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Subscription changes merged as a stream in two runs."""

@@ -4,20 +4,31 @@ A merged table is a base and the deltas of later runs, each in a folder of its o
 finished runs. Reading puts the newest delta rows in place of base rows of the same key; ``compact``
 writes that as a new base. No run reads and overwrites the same folder: one that fails half-way
 is not in the log, and its retry overwrites what it left. One writer per table is assumed.
+
+Appended logs, snapshots and partitioned tables follow the same rule: a run writes folders that nobody reads yet, and
+one line in the log, written last, makes all of them count. The cursor is in that line as well, so a run that
+died is run again as if it had not begun, and no data file is opened to find where to go on.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from caremill.functions.dates import TIMESTAMP
-from caremill.operators.versions import EPOCH, cursor_of, latest_per_key, merge_by_key, rows_after, snapshot
-from caremill.session import durable
+from caremill.functions.values import row_key
+from caremill.operators.versions import (
+    EPOCH,
+    cursor_of,
+    latest_per_key,
+    merge_by_key,
+    rows_after,
+    same_keys,
+)
 
 # The last column is the stored cursor: how far the source has been read.
 LOG = "version long, base long, last_value timestamp_ntz"
@@ -76,9 +87,9 @@ def read_stored(
     deltas = spark.read.schema(schema).parquet(f"{root}/delta").filter(runs)
     # By cursor, then by arrival: a late, older row does not replace a newer one.
     touched = deltas.select(*keys).distinct()
-    old = base.join(touched, keys, "left_semi").select(*base.columns, F.lit(0).cast("bigint").alias("_run"))
+    old = same_keys(base, touched, keys, "left_semi").select(*base.columns, F.lit(0).cast("bigint").alias("_run"))
     newest = latest_per_key(old.unionByName(deltas), keys, cursor, then="_run").select(*base.columns)
-    kept = base.join(touched, keys, "left_anti").select(*base.columns)
+    kept = same_keys(base, touched, keys, "left_anti").select(*base.columns)
     return kept.unionByName(newest)
 
 
@@ -119,16 +130,15 @@ def sync_merge(source: DataFrame, root: str, keys: list[str], cursor: str, lookb
     return write_delta(delta, root, keys, cursor, state.version + 1, state)
 
 
-def sync_append(source: DataFrame, path: str, cursor: str) -> None:
-    """Append log rows past the stored cursor; nothing stored is rewritten."""
-    spark = source.sparkSession
+def cursor_in_log(spark: SparkSession, root: str) -> DataFrame:
+    """One row: how far the source of a stored table has been read, or the epoch before the first run."""
     try:
-        last_value = cursor_of(spark.read.schema(source.schema).parquet(path), cursor).first()[0]
+        log = spark.read.schema(LOG).parquet(f"{root}/log")
     except AnalysisException as error:
         if not _missing(error):
             raise
-        last_value = None
-    rows_after(source, cursor, _literal(last_value)).write.mode("append").parquet(path)
+        log = spark.createDataFrame([], LOG)
+    return cursor_of(log, "last_value")
 
 
 def _literal(last_value):
@@ -136,78 +146,201 @@ def _literal(last_value):
     return F.lit(EPOCH if last_value is None else last_value).cast(TIMESTAMP)
 
 
+# -- appended logs --------------------------------------------------------------------------
+
+
+def sync_append(source: DataFrame, root: str, cursor: str) -> int:
+    """Append the source's rows past the stored cursor as one run; nothing stored is rewritten. The run lists
+    its files with the lowest and highest cursor of each. Returns the newest version."""
+    spark = source.sparkSession
+    state = finished(spark, root)
+    version, last_value = (state.version, state.last_value) if state else (0, None)
+    folder = f"{root}/rows/_run={version + 1}"
+    rows_after(source, cursor, _literal(last_value)).write.mode("overwrite").parquet(folder)
+    value = F.col(cursor).cast(TIMESTAMP)
+    files = spark.read.schema(source.schema).parquet(folder).groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(value).alias("lowest"), F.max(value).alias("highest")
+    )
+    files.write.mode("overwrite").parquet(f"{root}/files/_run={version + 1}")
+    reached = spark.read.schema(files.schema).parquet(f"{root}/files/_run={version + 1}")
+    reached = reached.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.max("highest").alias("last_value")).first()
+    if state and not reached.rows:
+        return version
+    return _finish(spark, root, version + 1, version + 1, reached.last_value if reached.rows else None)
+
+
+def appended_files(spark: SparkSession, root: str) -> DataFrame | None:
+    """path, rows, lowest and highest cursor of each file of the finished runs."""
+    state = finished(spark, root)
+    if state is None:
+        return None
+    return spark.read.parquet(f"{root}/files").filter(F.col("_run") <= state.version).drop("_run")
+
+
+def read_appended(spark: SparkSession, root: str, cursor: str | None = None, after=None) -> DataFrame | None:
+    """The rows of all finished runs, or those past a cursor value: files that hold none of them are not opened."""
+    state = finished(spark, root)
+    if state is None:
+        return None
+    every = spark.read.parquet(f"{root}/rows")
+    if after is None:
+        return every.filter(F.col("_run") <= state.version).drop("_run")
+    schema = StructType([field for field in every.schema if field.name != "_run"])
+    # As many paths as files are read, which the scan lists anyway.
+    paths = [row.path for row in appended_files(spark, root).filter(F.col("highest") > _literal(after)).collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return rows_after(spark.read.schema(schema).parquet(*paths), cursor, _literal(after))
+
+
 # -- snapshots ------------------------------------------------------------------------------
 
 
+def _digest(watched: list[str]):
+    """Equal for equal values of the watched columns, NULLs being values of their own."""
+    return F.md5(F.to_json(F.struct(*watched), {"ignoreNullFields": "false"}))
+
+
+def _snapshot_part(spark: SparkSession, root: str, part: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{root}/{part}").filter(F.col("_run") <= version).drop("_run")
+
+
 def take_snapshot(current: DataFrame, root: str, key: str, watched: list[str], run_at: str) -> int:
-    """Run a snapshot. Each run stores the open versions and the ones it closes; what earlier runs
-    closed is left as it is."""
+    """Run a snapshot. A run stores the versions that it opens and the ends of those that it closes, and nothing when
+    nothing changed. What changed is found by keys and digests alone: whole rows of the source are only
+    read again for the versions that open. Returns the newest version."""
     spark = current.sparkSession
     state = finished(spark, root)
-    version = state.version + 1 if state else 1
-    is_open = read_snapshot(spark, root).filter("valid_to IS NULL") if state else None
-    versions = snapshot(current, is_open, key, watched, run_at)
-    part = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
-    versions.withColumn("_part", part).write.mode("overwrite").partitionBy("_part").parquet(
-        f"{root}/runs/_run={version}"
+    run = state.version + 1 if state else 1
+    now = F.lit(run_at).cast(TIMESTAMP)
+    new = current.select(F.col(key).alias("_new"), _digest(watched).alias("_new_digest"), F.lit(True).alias("_here"))
+    if state is None:
+        changes = new.withColumn("version_id", F.lit(None).cast("string"))
+    else:
+        opened, closed = (_snapshot_part(spark, root, part, state.version) for part in ("opened", "closed"))
+        still_open = opened.join(closed, "version_id", "left_anti").select(F.col(key).alias("_old"), "version_id", "_digest")
+        changes = still_open.join(new, F.col("_old").eqNullSafe(F.col("_new")), "full").filter(
+            ~F.col("_digest").eqNullSafe(F.col("_new_digest"))
+        )
+    # Written first: both parts of the run come from one reading of the source's keys.
+    changes.select("version_id", "_new", "_here").write.mode("overwrite").parquet(f"{root}/changes/_run={run}")
+    changes = spark.read.schema(changes.select("version_id", "_new", "_here").schema).parquet(f"{root}/changes/_run={run}")
+    if state and changes.isEmpty():
+        return state.version
+    opening = same_keys(current, changes.filter("_here").select(F.col("_new").alias(key)).distinct(), [key], "left_semi")
+    opening = opening.withColumn("valid_from", now).withColumns(
+        {"version_id": row_key(key, "valid_from"), "_digest": _digest(watched)}
     )
-    return _finish(spark, root, version, version, None)
+    closing = changes.filter("version_id IS NOT NULL").select("version_id", now.alias("valid_to"))
+    opening.write.mode("overwrite").parquet(f"{root}/opened/_run={run}")
+    closing.write.mode("overwrite").parquet(f"{root}/closed/_run={run}")
+    return _finish(spark, root, run, run, None)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """Open versions of the newest finished run and closed ones of all finished runs."""
+    """All versions that finished runs have opened, with the ends of those they have closed."""
     state = finished(spark, root)
     if state is None:
         return None
-    run, part = F.col("_run"), F.col("_part")
-    in_force = ((part == "open") & (run == state.version)) | ((part == "closed") & (run <= state.version))
-    return spark.read.parquet(f"{root}/runs").filter(in_force).drop("_run", "_part")
+    opened, closed = (_snapshot_part(spark, root, part, state.version) for part in ("opened", "closed"))
+    content = [c for c in opened.columns if c not in ("_digest", "version_id")]
+    return opened.join(closed, "version_id", "left").select(*content, "valid_to", "version_id")
 
 
 # -- partitioned tables ---------------------------------------------------------------------
 
+# The partitions a run has written, and the schema of its rows.
+PARTITION_LOG = "version long, last_value timestamp_ntz, touched array<string>, schema string"
+
+
+def _partition_log(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        log = spark.read.schema(PARTITION_LOG).parquet(f"{root}/log")
+    except AnalysisException as error:
+        if _missing(error):
+            return None
+        raise
+    return None if log.isEmpty() else log
+
+
+def _place(partition: str):
+    """The folder of a partition value."""
+    return F.coalesce(F.concat(F.lit("is-"), F.col(partition).cast("string")), F.lit("null"))
+
+
+def in_force(spark: SparkSession, root: str) -> dict[int, list[str]]:
+    """The run that wrote each partition last, as lists by run: as many entries as there are partitions."""
+    log = _partition_log(spark, root)
+    if log is None:
+        return {}
+    newest = log.select("version", F.explode("touched").alias("part")).groupBy("part").agg(F.max("version").alias("run"))
+    by_run: dict[int, list[str]] = {}
+    for row in newest.collect():
+        by_run.setdefault(row.run, []).append(row.part)
+    return by_run
+
+
+def read_partitioned(spark: SparkSession, root: str, parts: list[str] | None = None) -> DataFrame | None:
+    """The table as of its last finished run, or only some partition folders of it. Folders that a later run has
+    replaced, or that a failed run left, are pruned by name."""
+    log = _partition_log(spark, root)
+    if log is None:
+        return None
+    schema = StructType.fromJson(json.loads(log.agg(F.max_by("schema", "version")).first()[0]))
+    folders = StructType([*schema.fields, StructField("_run", LongType()), StructField("_part", StringType())])
+    here = F.lit(False)
+    for run, written in in_force(spark, root).items():
+        wanted = written if parts is None else sorted(set(written) & set(parts))
+        here = here | ((F.col("_run") == run) & F.col("_part").isin(wanted))
+    return spark.read.schema(folders).parquet(f"{root}/data").filter(here).select(*schema.names)
+
 
 def refresh_partitions(
-    source: DataFrame, table: str, keys: list[str], cursor: str, partition: str, lookback_days: int = 0
-) -> bool:
-    """Bring a partitioned table up to date by rewriting only the partitions that change: those of
-    changed rows, and those where rows with the same key were before. The first run builds it.
-    Returns whether anything had changed."""
+    source: DataFrame, root: str, keys: list[str], cursor: str, partition: str, lookback_days: int = 0
+) -> int:
+    """Bring a partitioned table up to date by writing anew only the partitions that change: those of changed rows,
+    and those where rows with the same key were before. The first run builds it; a run without changes writes no
+    partition. Steps: the changed rows, the partitions they touch, the new content of these in a folder of its own, and a
+    log line that puts it in force. Until that line is there readers see the table as it was. Returns the newest version."""
     spark = source.sparkSession
-    if not spark.catalog.tableExists(table):
-        source.write.partitionBy(partition).format("parquet").saveAsTable(table)
-        return True
-    target = spark.table(table)
-    since = _literal(cursor_of(target, cursor).first()[0])
-    delta = rows_after(source, cursor, since, lookback_days).select(*target.columns)
-    old_places = target.join(delta.select(*keys).distinct(), keys, "left_semi").select(partition)
-    # Distinct partition values: as many as there are folders.
-    touched = [row[0] for row in delta.select(partition).union(old_places).distinct().collect()]
-    if not touched:
-        return False
-    here = F.col(partition).isin([v for v in touched if v is not None])
-    if None in touched:
-        here = here | F.col(partition).isNull()
-    # Spark cannot overwrite what it still reads, so the new rows are made durable first.
-    merged = durable(merge_by_key(target.filter(F.coalesce(here, F.lit(False))), delta, keys, cursor))
-    filled = {row[0] for row in merged.select(partition).distinct().collect()}
-    with _only_written_partitions(spark):
-        merged.write.mode("overwrite").insertInto(table)
-    for value in set(touched) - filled:
-        # All rows of this partition have moved elsewhere.
-        literal = "NULL" if value is None else f"'{value}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {literal})")
-    return True
-
-
-@contextmanager
-def _only_written_partitions(spark: SparkSession):
-    """Overwriting a table replaces the partitions that are written and keeps the others. A saved
-    table does not take this as an option of the write, only as a setting."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+    log = _partition_log(spark, root)
+    state = None if log is None else log.agg(F.max(F.struct("version", "last_value")).alias("line")).select("line.*").first()
+    run = state.version + 1 if state else 1
+    since = _literal(state.last_value if state else None) if state else None
+    changed = source if state is None else rows_after(source, cursor, since, lookback_days)
+    folder = f"{root}/delta/_run={run}"
+    latest_per_key(changed, keys, cursor).write.mode("overwrite").parquet(folder)
+    delta = spark.read.schema(source.schema).parquet(folder)
+    if state and delta.isEmpty():
+        return state.version
+    merged = delta
+    if state:
+        target = read_partitioned(spark, root).select(*source.columns)
+        moved = same_keys(target.select(*dict.fromkeys([*keys, partition])), delta.select(*keys).distinct(), keys, "left_semi")
+        places = delta.select(_place(partition)).union(moved.select(_place(partition))).distinct()
+        # Distinct partition values: as many as there are folders.
+        touched = sorted(row[0] for row in places.collect())
+        merged = merge_by_key(read_partitioned(spark, root, touched).select(*source.columns), delta, keys, cursor)
+    else:
+        touched = sorted(row[0] for row in delta.select(_place(partition)).distinct().collect())
+    # Not one file for each task and folder; adaptive execution splits the folders that are big.
+    placed = merged.withColumn("_part", _place(partition)).hint("rebalance", F.col("_part"))
+    placed.write.mode("overwrite").partitionBy("_part").parquet(f"{root}/data/_run={run}")
+    reached = cursor_of(delta, cursor).first()[0]
+    last_value = max(v for v in (reached, state.last_value if state else None) if v is not None)
+    line = spark.createDataFrame([(run, last_value, touched, source.schema.json())], PARTITION_LOG)
+    line.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    return run
+
+
+def drop_replaced(spark: SparkSession, root: str) -> int:
+    """Delete the partition folders of finished runs that later runs have replaced. Returns their number."""
+    current = {(run, part) for run, parts in in_force(spark, root).items() for part in parts}
+    log = _partition_log(spark, root)
+    written = {(row.version, row.part) for row in log.select("version", F.explode("touched").alias("part")).collect()}
+    context, gone = spark.sparkContext, 0
+    escaped = context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for run, part in written - current:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{root}/data/_run={run}/_part={escaped(part)}")
+        gone += bool(folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True))
+    return gone

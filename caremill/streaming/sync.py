@@ -7,6 +7,7 @@ arrives late with an old cursor value is not missed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -22,6 +23,15 @@ def arriving(spark: SparkSession, folder: str, schema: StructType, max_files: in
     return reader.parquet(folder)
 
 
+def once(stream: DataFrame, keys: list[str], event_time: str, lookback_days: int) -> DataFrame:
+    """Each key once, though a source repeats rows for up to ``lookback_days``: keys are remembered until the
+    stream's time has passed them by that much. Rows later than that are dropped."""
+    watched = stream.withColumn("_watched", F.col(event_time).cast("timestamp")).withWatermark(
+        "_watched", f"{lookback_days} days"
+    )
+    return watched.dropDuplicatesWithinWatermark(keys).drop("_watched")
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append an immutable log exactly once."""
     return (
@@ -37,7 +47,7 @@ def merge_stream(stream: DataFrame, root: str, keys: list[str], cursor: str, che
     """Store each micro-batch as one run of a merged table, to be read with ``read_stored``.
 
     A batch is always run (batch + 1) and builds on the runs below it, so a repeated batch gives
-    the same result. Within a batch the latest row of a key wins, between batches the later one.
+    the same result. Of all rows of a key the one with the highest cursor wins, of equal ones that of the later batch.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:

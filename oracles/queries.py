@@ -255,7 +255,12 @@ for _name in ("sync_merge", "sync_merge_stored", "stream_merge"):
 _SQL["incremental_appointments"] = """
   SELECT * REPLACE (greatest(created_at, updated_at) AS updated_at) RENAME (signup_channel AS patient_signup_channel)
   FROM m_appointments"""
-for _name in ("sync_append", "stream_append"):
+_SQL["sync_merge_lookback"] = """
+  SELECT * EXCLUDE (_loaded_at) FROM t_subscriptions
+  WHERE status <> 'paused'
+     OR updated_at > (SELECT max(updated_at) FROM t_subscriptions WHERE status <> 'paused') - INTERVAL 300 DAY"""
+_SQL["sync_append_recent"] = "SELECT * EXCLUDE (_loaded_at) FROM t_events WHERE event_at > TIMESTAMP '2024-01-25 00:00:00'"
+for _name in ("sync_append", "sync_append_stored", "stream_append", "stream_append_lookback"):
     _SQL[_name] = "SELECT * EXCLUDE (_loaded_at) FROM t_events"
 _SQL["sync_cursor_state"] = """
   SELECT 'patients' AS table_name, max(updated_at) AS last_value FROM t_patients

@@ -161,44 +161,166 @@ def test_replace_sync(spark, root):
 
 def test_append_sync(spark, root):
     for rows in ([("a", "1", 1), ("b", "1", 2)], [("a", "1", 1), ("b", "1", 2), ("late", "1", 1), ("c", "1", 3)]):
-        stored.sync_append(_state(spark, *rows), f"{root}/log", "updated_at")
-    assert _pairs(spark.read.parquet(f"{root}/log")) == [("a", "1"), ("b", "1"), ("c", "1")]
+        stored.sync_append(_state(spark, *rows), root, "updated_at")
+    assert _pairs(stored.read_appended(spark, root)) == [("a", "1"), ("b", "1"), ("c", "1")]
+    assert stored.sync_append(_state(spark, ("c", "1", 3)), root, "updated_at") == 2
 
 
-def test_partitions_are_rewritten_only_where_rows_change(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS inc")
-    spark.sql("DROP TABLE IF EXISTS inc.fact")
+class Died(Exception):
+    pass
 
-    def fact(*rows):
-        return _state(spark, *[r[:3] for r in rows]).join(
-            spark.createDataFrame([(r[0], r[3]) for r in rows], "id string, month string"), "id"
-        )
 
-    def refresh(*rows):
-        return stored.refresh_partitions(fact(*rows), "inc.fact", ["id"], "updated_at", "month")
+def _dying(monkeypatch, step):
+    """Lets the given number of writes through, then fails once, before the next one."""
+    from pyspark.sql.readwriter import DataFrameWriter
 
-    assert refresh(("a", "1", 1, "m1"), ("b", "1", 1, "m1"), ("c", "1", 1, "m2"), ("d", "1", 1, "m3"))
-    untouched = {r[0] for r in spark.table("inc.fact").filter("month = 'm1'").select(F.input_file_name()).collect()}
-    # c moves from m2, which empties, to m3; e is new in a new month.
-    assert refresh(("a", "unseen", 1, "m1"), ("c", "2", 2, "m3"), ("e", "2", 2, "m4"))
-    rows = sorted((r.id, r.v, r.month) for r in spark.table("inc.fact").collect())
-    assert rows == [("a", "1", "m1"), ("b", "1", "m1"), ("c", "2", "m3"), ("d", "1", "m3"), ("e", "2", "m4")]
-    assert {r[0] for r in spark.table("inc.fact").filter("month = 'm1'").select(F.input_file_name()).collect()} == untouched
-    assert not refresh(("e", "2", 2, "m4"))
+    real, count = DataFrameWriter.parquet, [0]
 
+    def write(self, path, *args, **more):
+        count[0] += 1
+        if count[0] == step + 1:
+            raise Died(path)
+        return real(self, path, *args, **more)
 
-def test_stored_snapshot_rewrites_no_closed_versions(spark, root):
-    def take(rows, at):
-        stored.take_snapshot(spark.createDataFrame(rows, "id string, plan string"), root, "id", ["plan"], at)
-        return sorted((r.id, r.plan, r.valid_to is None) for r in stored.read_snapshot(spark, root).collect())
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    return count
 
-    def written(run):
-        return spark.read.parquet(f"{root}/runs/_run={run}").count()
 
-    assert take([("a", "x"), ("b", "x")], "2024-01-01 00:00:00") == [("a", "x", True), ("b", "x", True)]
-    assert take([("a", "y")], "2024-01-02 00:00:00") == [("a", "x", False), ("a", "y", True), ("b", "x", False)]
-    assert take([("a", "y")], "2024-01-03 00:00:00") == [("a", "x", False), ("a", "y", True), ("b", "x", False)]
-    assert [written(run) for run in (1, 2, 3)] == [2, 3, 1]
+@pytest.mark.parametrize("step", range(4))
+def test_append_dies_anywhere_and_is_repeated(spark, root, monkeypatch, step):
+    stored.sync_append(_state(spark, ("a", "1", 1), ("b", "1", 2)), root, "updated_at")
+    more = _state(spark, ("b", "1", 2), ("c", "1", 3), ("d", "1", 4))
+    with monkeypatch.context() as patch:
+        _dying(patch, step)
+        if step < 3:
+            with pytest.raises(Died):
+                stored.sync_append(more, root, "updated_at")
+            assert _pairs(stored.read_appended(spark, root)) == [("a", "1"), ("b", "1")]
+    for _ in range(2):
+        stored.sync_append(more, root, "updated_at")
+    assert _pairs(stored.read_appended(spark, root)) == [("a", "1"), ("b", "1"), ("c", "1"), ("d", "1")]
+    assert stored.finished(spark, root).last_value == datetime(2024, 1, 4)
+
+
+def test_recent_rows_open_only_files_that_hold_some(spark, root):
+    for day in range(1, 5):
+        stored.sync_append(_state(spark, ("k", str(day), day)).coalesce(1), root, "updated_at")
+    files = {r.rows: (r.lowest, r.highest) for r in stored.appended_files(spark, root).collect()}
+    assert set(files) == {1}
+    recent = stored.read_appended(spark, root, "updated_at", datetime(2024, 1, 2))
+    assert _pairs(recent) == [("k", "3"), ("k", "4")] and len(recent.inputFiles()) == 2
+    assert stored.read_appended(spark, root, "updated_at", datetime(2025, 1, 1)).count() == 0
+
+
+def test_cursor_comes_from_the_log_alone(spark, root):
+    assert stored.cursor_in_log(spark, root).first()[0] == datetime(1970, 1, 1)
+    stored.sync_append(_state(spark, ("a", "1", 5)), root, "updated_at")
+    state = stored.cursor_in_log(spark, root)
+    assert state.first()[0] == datetime(2024, 1, 5) and all("/log/" in f for f in state.inputFiles())
+
+
+def _fact(spark, *rows):
+    return spark.createDataFrame(
+        [(i, v, datetime(2024, 1, d), m) for i, v, d, m in rows], "id string, v string, updated_at timestamp_ntz, month string"
+    )
+
+
+def _refresh(spark, root, *rows):
+    return stored.refresh_partitions(_fact(spark, *rows), root, ["id"], "updated_at", "month")
+
+
+def _facts(spark, root):
+    return sorted(((r.id, r.v, r.month) for r in stored.read_partitioned(spark, root).collect()), key=str)
+
+
+def test_partitions_are_rewritten_only_where_rows_change(spark, root):
+    assert _refresh(spark, root, ("a", "1", 1, "m1"), ("b", "1", 1, "m1"), ("c", "1", 1, "m2"), ("d", "1", 1, "m3")) == 1
+    # c moves from m2, which empties, to m3; e is new in a new month, and one without a month; keys may be NULL.
+    later = [("a", "unseen", 1, "m1"), ("c", "2", 2, "m3"), ("e", "2", 2, "m 4:/="), ("f", "2", 2, None), (None, "2", 2, "m3")]
+    assert _refresh(spark, root, *later) == 2
+    wanted = [("a", "1", "m1"), ("b", "1", "m1"), ("c", "2", "m3"), ("d", "1", "m3"), ("e", "2", "m 4:/="), ("f", "2", None)]
+    assert _facts(spark, root) == sorted([*wanted, (None, "2", "m3")], key=str)
+    assert "is-m1" in stored.in_force(spark, root)[1] and "is-m1" not in stored.in_force(spark, root)[2]
+    assert _refresh(spark, root, *later) == 2
+    assert _refresh(spark, root, (None, "3", 3, "m3"), ("e", "3", 3, "m 4:/=")) == 3
+    wanted = [*wanted[:4], ("e", "3", "m 4:/="), wanted[5], (None, "3", "m3")]
+    assert _facts(spark, root) == sorted(wanted, key=str)
+    # m2 and m3 of the first run, m3 and m 4 of the second, were replaced; the emptied m2 has no folder.
+    assert stored.drop_replaced(spark, root) >= 3
+    assert _facts(spark, root) == sorted(wanted, key=str)
+    assert [r.id for r in stored.read_partitioned(spark, root, ["is-m1"]).orderBy("id").collect()] == ["a", "b"]
+
+
+@pytest.mark.parametrize("step", range(3))
+def test_refresh_dies_between_any_two_steps_and_is_repeated(spark, root, monkeypatch, step):
+    _refresh(spark, root, ("a", "1", 1, "m1"), ("b", "1", 1, "m1"), ("c", "1", 1, "m2"))
+    before = _facts(spark, root)
+    changes = [("a", "2", 2, "m1"), ("c", "2", 2, "m1"), ("d", "2", 3, "m3")]
+    with monkeypatch.context() as patch:
+        _dying(patch, step)
+        with pytest.raises(Died):
+            _refresh(spark, root, *changes)
+    assert _facts(spark, root) == before
+    # The source has moved on when the run is repeated.
+    assert _refresh(spark, root, *changes, ("e", "2", 3, "m2")) == 2 == _refresh(spark, root, *changes)
+    assert _facts(spark, root) == [("a", "2", "m1"), ("b", "1", "m1"), ("c", "2", "m1"), ("d", "2", "m3"), ("e", "2", "m2")]
+
+
+def test_first_build_dies_and_is_repeated(spark, root, monkeypatch):
+    for step in range(3):
+        with monkeypatch.context() as patch:
+            _dying(patch, step)
+            with pytest.raises(Died):
+                _refresh(spark, root, ("a", "1", 1, "m1"))
+        assert stored.read_partitioned(spark, root) is None
+    assert _refresh(spark, root, ("a", "1", 1, "m1")) == 1 and _facts(spark, root) == [("a", "1", "m1")]
+
+
+def _taken(spark, root):
+    return sorted(((r.id, r.plan, r.valid_to is None) for r in stored.read_snapshot(spark, root).collect()), key=str)
+
+
+def _take(spark, root, rows, at):
+    return stored.take_snapshot(spark.createDataFrame(rows, "id string, plan string"), root, "id", ["plan"], at)
+
+
+def test_stored_snapshot_writes_only_what_opens_and_closes(spark, root):
+    def written(part, run):
+        return spark.read.schema("version_id string").parquet(f"{root}/{part}/_run={run}").count()
+
+    assert _take(spark, root, [("a", "x"), ("b", "x"), ("c", None), (None, "n")], "2024-01-01 00:00:00") == 1
+    assert _taken(spark, root) == sorted([("a", "x", True), ("b", "x", True), ("c", None, True), (None, "n", True)], key=str)
+    second = [("a", "y"), ("c", None), (None, "n")]
+    assert _take(spark, root, second, "2024-01-02 00:00:00") == 2
+    wanted = [("a", "x", False), ("a", "y", True), ("b", "x", False), ("c", None, True), (None, "n", True)]
+    assert _taken(spark, root) == sorted(wanted, key=str)
+    assert (written("opened", 1), written("opened", 2), written("closed", 2)) == (4, 1, 2)
+    # A run without changes writes no row and no log line.
+    assert _take(spark, root, second, "2024-01-03 00:00:00") == 2
+    # b comes back, c gets a value, NULL goes.
+    assert _take(spark, root, [("a", "y"), ("b", "x"), ("c", "")], "2024-01-04 00:00:00") == 3
+    wanted = [w if w[0] in ("a", "b") else (*w[:2], False) for w in wanted] + [("b", "x", True), ("c", "", True)]
+    assert _taken(spark, root) == sorted(wanted, key=str)
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_snapshot_dies_between_any_two_steps_and_is_repeated(spark, root, monkeypatch, step):
+    _take(spark, root, [("a", "x"), ("b", "x")], "2024-01-01 00:00:00")
+    before = _taken(spark, root)
+    with monkeypatch.context() as patch:
+        _dying(patch, step)
+        with pytest.raises(Died):
+            _take(spark, root, [("a", "y")], "2024-01-02 00:00:00")
+    assert _taken(spark, root) == before
+    assert _take(spark, root, [("a", "z"), ("b", "x")], "2024-01-03 00:00:00") == 2
+    assert _taken(spark, root) == [("a", "x", False), ("a", "z", True), ("b", "x", True)]
+
+
+def test_null_keys_do_not_multiply(spark, root):
+    for value, day in (("1", 1), ("2", 2), ("3", 3)):
+        stored.sync_merge(_state(spark, (None, value, day), ("a", value, day)), root, ["id"], "updated_at")
+    assert {(r.id, r.v) for r in _read(spark, root).collect()} == {("a", "3"), (None, "3")}
+    assert _read(spark, root).count() == 2
 
 
 # -- streams --------------------------------------------------------------------------------
