@@ -16,6 +16,7 @@ Ties go to the language first in alphabetical order.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -43,9 +44,9 @@ UNKNOWN = "und"
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """(is it a letter, its lower-case form) of every character of the basic plane."""
-    letter, lower = np.zeros(1 << 16, bool), np.arange(1 << 16, dtype=np.uint32)
-    for c in range(1 << 16):
+    """(is it a letter, its lower-case form) of every character of all planes."""
+    letter, lower = np.zeros(sys.maxunicode + 1, bool), np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    for c in range(sys.maxunicode + 1):
         text = chr(c)
         if text.isalpha():
             letter[c] = True
@@ -59,8 +60,7 @@ _TABLES: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def letters(text: pa.Array) -> tuple[np.ndarray, W.Words]:
-    """(lower-case code points of all texts, words as runs of letters). Characters beyond the basic plane
-    are letters and stay as they are."""
+    """(lower-case code points of all texts, words as runs of letters)."""
     if not _TABLES:
         _TABLES.append(_tables())
     letter, lower = _TABLES[0]
@@ -69,9 +69,8 @@ def letters(text: pa.Array) -> tuple[np.ndarray, W.Words]:
     # Characters before each text: bytes that do not continue a character.
     begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     bounds = begins[bounds]
-    low = np.minimum(codes, 0xFFFF)
-    inside = letter[low] | (codes > 0xFFFF)
-    codes = np.where(codes > 0xFFFF, codes, lower[low])
+    inside = letter[codes]
+    codes = lower[codes]
     first, last = inside.copy(), inside.copy()
     if len(codes):
         first[1:] &= ~inside[:-1]
@@ -188,38 +187,32 @@ class Model:
 
 def fit(texts: DataFrame, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> Model:
     """Learn from all rows of ``texts`` (text, lang; neither null)."""
-    counts = stored(count(texts), "language-counts")
+    counts = stored(count(texts), "language-counts", "zstd")
     totals = counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()
     langs = sorted({row["lang"] for row in totals})
-    total = {(row["kind"], row["lang"]): row["n"] for row in totals}
+    # The model as it is looked up, made once: the counts of single languages are not needed any more.
+    sums = F.create_map(*[F.lit(x) for row in totals for x in (f"{row['kind']} {row['lang']}", float(row["n"]))])
+    score = F.least(F.lit(PENALTY), -F.log10(F.col("n") / sums[F.concat_ws(" ", "kind", "lang")]))
+    by_lang = [F.coalesce(F.min(F.when(F.col("lang") == x, score)), F.lit(PENALTY)) for x in langs]
+    scores_of = F.array(*by_lang) if langs else F.lit(None).cast("array<double>")
+    table = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"), scores_of.alias("scores")) if langs else counts.selectExpr(
+        "kind", "key", "n", "CAST(NULL AS ARRAY<DOUBLE>) AS scores"
+    )
+    table = stored(table, "language-model", "zstd")
+    dropped(counts)
     keys, scores, whole = [], [], True
     for kind in range(LONGEST + 1):
         most = most_grams if kind else most_words
-        by_key = counts.filter(F.col("kind") == kind).groupBy("key")
-        table = (
-            by_key.agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by_lang"))
-            .orderBy(F.desc("n"), "key")
-            .limit(most + 1)
-            .select("key", F.explode("by_lang").alias("c"))
-            .select("key", "c.lang", "c.n")
-            .toArrow()
-        )
-        key = table.column("key").to_numpy().view(np.uint64)
-        distinct, row = np.unique(key, return_inverse=True)
-        whole = whole and len(distinct) <= most
-        score = np.full((len(distinct), len(langs)), PENALTY, np.float64)
-        column = np.array([langs.index(x) for x in table.column("lang").to_pylist()], np.int64)
-        sums = np.array([total.get((kind, x), 1) for x in langs], np.float64)
-        score[row, column] = np.minimum(PENALTY, -np.log10(table.column("n").to_numpy() / sums[column]))
-        keys.append(distinct)
-        scores.append(score)
+        top = table.filter(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(most + 1).select("key", "scores").toArrow()
+        key = top.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        whole = whole and len(key) <= most
+        keys.append(key[order])
+        scores.append(top.column("scores").combine_chunks().flatten().to_numpy().reshape(len(key), len(langs))[order])
     if whole:
-        dropped(counts)
+        dropped(table)
         return Model(langs, keys, scores)
-    sums = F.create_map(*[F.lit(x) for k in total for x in (f"{k[0]} {k[1]}", float(total[k]))])
-    score = F.least(F.lit(PENALTY), -F.log10(F.col("n") / sums[F.concat_ws(" ", "kind", "lang")]))
-    by_lang = [F.coalesce(F.min(F.when(F.col("lang") == x, score)), F.lit(PENALTY)) for x in langs]
-    return Model(langs, keys, scores, counts.groupBy("kind", "key").agg(F.array(*by_lang).alias("scores")))
+    return Model(langs, keys, scores, table.select("kind", "key", "scores"))
 
 
 def predict(model: Model, text: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -379,7 +372,7 @@ def _rare_scores(words: DataFrame, model: Model, shared: Broadcast) -> DataFrame
         return [F.sum(F.get(values, F.lit(k))) for k in places]
 
     counted = model.table.filter("kind = 0").select("key", "scores")
-    looked_up = stored(words.join(counted, "key", "left"), "language-words")
+    looked_up = stored(words.join(counted, "key", "left"), "language-words", "zstd")
     parts = _rare_grams(looked_up.filter("scores IS NULL"), shared)
     grams = model.table.filter("kind > 0").select("kind", "key", "scores")
     joined = parts.join(grams, ["kind", "key"], "left").select(
@@ -404,7 +397,7 @@ def _identify_joined(documents: DataFrame, model: Model) -> DataFrame:
     """As ``identify``, with the words and n-grams that are not in the broadcast joined to the model's table."""
     context = documents.sparkSession.sparkContext
     shared = context.broadcast(Model(model.langs, model.keys, model.scores))
-    found = stored(_with_rare_words(documents, shared), "language-found")
+    found = stored(_with_rare_words(documents, shared), "language-found", "zstd")
     rare = found.select("id", F.explode("missing").alias("w")).select("id", "w.key", "w.word", "w.n")
     scores = _rare_scores(rare.groupBy("key").agg(F.min("word").alias("word")), model, shared)
     places = range(len(model.langs))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -30,16 +32,39 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch(spark: SparkSession, name: str) -> str:
     """A folder in the shared one that goes when the session's program ends."""
     path = scratch_path(spark, f"llm-{name}")
+    if _STAGE["open"]:
+        _STAGE["paths"].append((spark, path))
     atexit.register(_delete, spark, path)
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: The folders that the stages of a pipeline have made, and whether one is making some now.
+_STAGE: dict = {"open": False, "paths": []}
+
+
+def release() -> None:
+    """Delete what the stages of a pipeline have made so far: their results have been written elsewhere."""
+    while _STAGE["paths"]:
+        _delete(*_STAGE["paths"].pop())
+
+
+@contextmanager
+def stage() -> Iterator[None]:
+    """Tables made inside belong to one stage of a pipeline and go when the next one begins, or with ``release``."""
+    release()
+    _STAGE["open"] = True
+    try:
+        yield
+    finally:
+        _STAGE["open"] = False
+
+
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: its rows stay whatever executor is lost, and
     are computed once. The folder goes when the session's program ends, or with ``dropped``."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     schema = StructType.fromJson(df.schema.jsonValue())
     read = spark.read.schema(schema).parquet(path)
     read._stored_at = path
