@@ -217,13 +217,13 @@ def check_banned_columns(spark: SparkSession, folder: str) -> DataFrame:
 def check_artifacts(spark: SparkSession, folder: str) -> DataFrame:
     root, _ = _published(spark, folder)
     found = quality.banned_artifact_columns(artifact_columns(spark, root), registry(spark))
-    return found.select("artifact", "column_name")
+    return found.select("artifact", "column_name", "rows")
 
 
 @query
 def artifact_column_list(spark: SparkSession, folder: str) -> DataFrame:
     root, _ = _published(spark, folder)
-    return artifact_columns(spark, root).select("artifact", "column_name")
+    return artifact_columns(spark, root).select("artifact", "column_name", "rows")
 
 
 QUERIES["artifact_columns"] = QUERIES.pop("artifact_column_list")

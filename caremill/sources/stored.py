@@ -299,22 +299,20 @@ def refresh_partitions(
     source: DataFrame, root: str, keys: list[str], cursor: str, partition: str, lookback_days: int = 0
 ) -> int:
     """Bring a partitioned table up to date by writing anew only the partitions that change: those of changed rows,
-    and those where rows with the same key were before. The first run builds it; a run without changes writes no
+    and those where rows with the same key were before. The first run stores the source as it is; a run without changes writes no
     partition. Steps: the changed rows, the partitions they touch, the new content of these in a folder of its own, and a
     log line that puts it in force. Until that line is there readers see the table as it was. Returns the newest version."""
     spark = source.sparkSession
     log = _partition_log(spark, root)
     state = None if log is None else log.agg(F.max(F.struct("version", "last_value")).alias("line")).select("line.*").first()
     run = state.version + 1 if state else 1
-    since = _literal(state.last_value if state else None) if state else None
-    changed = source if state is None else rows_after(source, cursor, since, lookback_days)
-    folder = f"{root}/delta/_run={run}"
-    latest_per_key(changed, keys, cursor).write.mode("overwrite").parquet(folder)
-    delta = spark.read.schema(source.schema).parquet(folder)
-    if state and delta.isEmpty():
-        return state.version
-    merged = delta
     if state:
+        folder = f"{root}/delta/_run={run}"
+        changed = rows_after(source, cursor, _literal(state.last_value), lookback_days)
+        latest_per_key(changed, keys, cursor).write.mode("overwrite").parquet(folder)
+        delta = spark.read.schema(source.schema).parquet(folder)
+        if delta.isEmpty():
+            return state.version
         target = read_partitioned(spark, root).select(*source.columns)
         moved = same_keys(target.select(*dict.fromkeys([*keys, partition])), delta.select(*keys).distinct(), keys, "left_semi")
         places = delta.select(_place(partition)).union(moved.select(_place(partition))).distinct()
@@ -322,10 +320,14 @@ def refresh_partitions(
         touched = sorted(row[0] for row in places.collect())
         merged = merge_by_key(read_partitioned(spark, root, touched).select(*source.columns), delta, keys, cursor)
     else:
-        touched = sorted(row[0] for row in delta.select(_place(partition)).distinct().collect())
+        merged = source
     # Not one file for each task and folder; adaptive execution splits the folders that are big.
+    folder = f"{root}/data/_run={run}"
     placed = merged.withColumn("_part", _place(partition)).hint("rebalance", F.col("_part"))
-    placed.write.mode("overwrite").partitionBy("_part").parquet(f"{root}/data/_run={run}")
+    placed.write.mode("overwrite").partitionBy("_part").parquet(folder)
+    if not state:
+        delta = spark.read.schema(placed.schema).parquet(folder)
+        touched = sorted(row[0] for row in delta.select("_part").distinct().collect())
     reached = cursor_of(delta, cursor).first()[0]
     last_value = max(v for v in (reached, state.last_value if state else None) if v is not None)
     line = spark.createDataFrame([(run, last_value, touched, source.schema.json())], PARTITION_LOG)

@@ -176,58 +176,20 @@ _SQL["check_banned_columns"] = """
                         ('direct_identifier_present', 'raw', 'synthea_patients_unfiltered', 'last'),
                         ('quasi_identifier_in_serving_layer', 'marts', 'dim_clinical_patients', 'zip'))
   AS found(violation, table_schema, table_name, column_name)"""
-# The columns of the published files.
-_SQL["check_artifacts"] = """
-  SELECT * FROM (VALUES ('synthea_patients', 'birthdate'),
-                        ('synthea_patients', 'zip'),
-                        ('synthea_patients_unfiltered', 'birthdate'),
-                        ('synthea_patients_unfiltered', 'zip'),
-                        ('synthea_patients_unfiltered', 'ssn'),
-                        ('synthea_patients_unfiltered', 'last'),
-                        ('dim_clinical_patients', 'zip'))
-  AS found(artifact, column_name)"""
-_SQL["artifact_columns"] = """
-  SELECT * FROM (VALUES ('synthea_patients', 'Id'),
-                        ('synthea_patients', 'BIRTHDATE'),
-                        ('synthea_patients', 'DEATHDATE'),
-                        ('synthea_patients', 'ZIP'),
-                        ('synthea_patients', 'STATE'),
-                        ('synthea_patients', 'MARITAL'),
-                        ('synthea_patients', 'RACE'),
-                        ('synthea_patients', 'ETHNICITY'),
-                        ('synthea_patients', 'GENDER'),
-                        ('synthea_patients', 'HEALTHCARE_EXPENSES'),
-                        ('synthea_patients', 'HEALTHCARE_COVERAGE'),
-                        ('synthea_patients', 'INCOME'),
-                        ('synthea_patients_unfiltered', 'Id'),
-                        ('synthea_patients_unfiltered', 'BIRTHDATE'),
-                        ('synthea_patients_unfiltered', 'DEATHDATE'),
-                        ('synthea_patients_unfiltered', 'ZIP'),
-                        ('synthea_patients_unfiltered', 'STATE'),
-                        ('synthea_patients_unfiltered', 'MARITAL'),
-                        ('synthea_patients_unfiltered', 'RACE'),
-                        ('synthea_patients_unfiltered', 'ETHNICITY'),
-                        ('synthea_patients_unfiltered', 'GENDER'),
-                        ('synthea_patients_unfiltered', 'HEALTHCARE_EXPENSES'),
-                        ('synthea_patients_unfiltered', 'HEALTHCARE_COVERAGE'),
-                        ('synthea_patients_unfiltered', 'INCOME'),
-                        ('synthea_patients_unfiltered', 'SSN'),
-                        ('synthea_patients_unfiltered', 'LAST'),
-                        ('dim_clinical_patients', 'patient_id'),
-                        ('dim_clinical_patients', 'ZIP'),
-                        ('dim_clinical_patients', 'STATE'),
-                        ('dim_patients', 'patient_id'),
-                        ('dim_patients', 'state'),
-                        ('dim_patients', 'gender'),
-                        ('dim_patients', 'age_band'),
-                        ('dim_patients', 'signup_date'),
-                        ('dim_patients', 'signup_cohort_month'),
-                        ('dim_patients', 'signup_channel'),
-                        ('dim_patients', 'first_touch_channel'),
-                        ('dim_patients', 'last_touch_channel'),
-                        ('dim_patients', 'marketing_touch_count'),
-                        ('dim_patients', 'acquisition_cost'))
-  AS found(artifact, column_name)"""
+# The columns of the published files, and the registered names among them.
+_LANDED_COLUMNS = """['Id', 'BIRTHDATE', 'DEATHDATE', 'ZIP', 'STATE', 'MARITAL', 'RACE', 'ETHNICITY', 'GENDER',
+                  'HEALTHCARE_EXPENSES', 'HEALTHCARE_COVERAGE', 'INCOME']"""
+_SQL["artifact_columns"] = f"""
+  SELECT artifact, unnest(names) AS column_name, rows FROM (
+    SELECT 'synthea_patients' AS artifact, {_LANDED_COLUMNS} AS names, count(*) AS rows FROM t_clinical_raw
+    UNION ALL SELECT 'synthea_patients_unfiltered', {_LANDED_COLUMNS} || ['SSN', 'LAST'], count(*) FROM t_clinical_raw
+    UNION ALL SELECT 'dim_clinical_patients', ['patient_id', 'ZIP', 'STATE'], count(*) FROM t_clinical_raw
+    UNION ALL SELECT 'dim_patients', ['patient_id', 'state', 'gender', 'age_band', 'signup_date', 'signup_cohort_month',
+                     'signup_channel', 'first_touch_channel', 'last_touch_channel', 'marketing_touch_count',
+                     'acquisition_cost'], count(*) FROM m_dim_patients)"""
+_SQL["check_artifacts"] = f"""
+  SELECT artifact, lower(column_name) AS column_name, rows FROM ({_SQL["artifact_columns"]})
+  WHERE lower(column_name) IN ('birthdate', 'zip', 'ssn', 'last')"""
 
 # -- landing
 
