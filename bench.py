@@ -31,6 +31,7 @@ NOT_TIMED = {
     "check_suite", "check_suite_raw", "check_banned_columns", "check_artifacts", "artifact_columns",
     "sync_merge_stored", "sync_replace", "snapshot_stored", "stream_append", "stream_merge",
     "sync_append_stored", "sync_append_recent", "sync_cursor_state", "sync_merge_lookback", "stream_append_lookback",
+    "land_full_refresh", "land_registry",
 }
 
 

@@ -12,12 +12,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.functions.privacy import registry
+from caremill.functions.privacy import BANNED_COLUMNS, direct_identifiers, read_registry
 from caremill.operators import versions
 from caremill.operators.history import as_of
 from caremill.operators.ordered import OrderedRows
 from caremill.plans import bi, clinical, quality
-from caremill.plans.models import SCHEMAS, Models, publish_tables
+from caremill.plans.models import SCHEMAS, Models, publish_tables, report_view
 from caremill.session import configure, scratch_path
 from caremill.sources import bindings, landing, stored
 from caremill.sources.artifacts import artifact_columns
@@ -105,6 +105,13 @@ _models("bi_mrr_compare", lambda m: bi.mrr_comparison(m.plan_mix, m.fct_mrr_dail
 _models("bi_mrr_gap", lambda m: bi.mrr_gap(m.plan_mix, m.fct_mrr_daily), recent=True)
 _models("bi_busiest", lambda m: bi.busiest_timelines(m.plan_periods))
 
+# -- lean reports ---------------------------------------------------------------------------
+
+_models("view_patients", lambda m: report_view(m.serving_views(), "dim_patients"))
+_models("view_appointments", lambda m: report_view(m.serving_views(), "fct_appointments"))
+_models("view_mrr", lambda m: report_view(m.serving_views(), "fct_mrr_daily"))
+_models("view_marketing", lambda m: report_view(m.serving_views(), "mart_marketing_attribution"))
+
 # -- checks ---------------------------------------------------------------------------------
 
 _models("check_unique", lambda m: quality.not_unique(m.subscriptions, "patient_id"))
@@ -193,6 +200,16 @@ def freshness(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _registry(spark: SparkSession) -> DataFrame:
+    """The registry of columns, read from its file as a job would find it."""
+    path = scratch_path(spark, "registry")
+    rows = [(f" {name.upper()} ", str(tier), "") for name, tier in BANNED_COLUMNS.items()]
+    spark.createDataFrame(rows, "column_name string, tier string, rationale string").coalesce(1).write.option(
+        "header", True
+    ).csv(path)
+    return read_registry(spark, path)
+
+
 def _published(spark: SparkSession, folder: str) -> tuple[str, dict[tuple[str, str], DataFrame]]:
     """Tables as a careless and a careful job would write them."""
     raw, m = RawTables(spark, folder), Models(RawTables(spark, folder))
@@ -210,13 +227,13 @@ def _published(spark: SparkSession, folder: str) -> tuple[str, dict[tuple[str, s
 @query
 def check_banned_columns(spark: SparkSession, folder: str) -> DataFrame:
     _, tables = _published(spark, folder)
-    return quality.banned_columns(quality.column_catalogue(spark, tables), registry(spark))
+    return quality.banned_columns(quality.column_catalogue(spark, tables), _registry(spark))
 
 
 @query
 def check_artifacts(spark: SparkSession, folder: str) -> DataFrame:
     root, _ = _published(spark, folder)
-    found = quality.banned_artifact_columns(artifact_columns(spark, root), registry(spark))
+    found = quality.banned_artifact_columns(artifact_columns(spark, root), _registry(spark))
     return found.select("artifact", "column_name", "rows")
 
 
@@ -256,6 +273,38 @@ def land_drop_tier1(spark: SparkSession, folder: str) -> DataFrame:
     return landing.stamp(landing.drop_identifiers(landing.read_text_csv(spark, path)), bindings.LOADED_AT)
 
 
+def _database(spark: SparkSession, name: str) -> str:
+    """A database of its own in the shared folder."""
+    place = scratch_path(spark, name)
+    schema = place.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{place}'")
+    return schema
+
+
+@query
+def land_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The providers after two full refreshes of the care exports; the second replaces what the first landed, and exports
+    that are missing are skipped."""
+    path, schema = scratch_path(spark, "exports"), _database(spark, "landed-care")
+    providers = RawTables(spark, folder).providers().drop(landing.LOAD_STAMP)
+    for state in (providers.withColumn("specialty", F.lit("old")).limit(1), providers):
+        state.write.mode("overwrite").option("header", True).csv(f"{path}/providers.csv")
+        landed = landing.land_care(spark, path, schema, bindings.LOADED_AT)
+    return spark.table(f"{schema}.{landed[0]}")
+
+
+@query
+def land_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """The clinical export landed twice without what the registry file names; an empty folder is skipped."""
+    path, schema = scratch_path(spark, "exports"), _database(spark, "landed-clinical")
+    RawTables(spark, folder).clinical_patients().write.option("header", True).csv(f"{path}/patients")
+    spark.range(0).write.option("header", True).csv(f"{path}/payers")
+    banned = direct_identifiers(_registry(spark))
+    for _ in range(2):
+        landed = landing.land_clinical(spark, path, schema, bindings.LOADED_AT, banned)
+    return spark.table(f"{schema}.{landed[0]}")
+
+
 # -- syncs ----------------------------------------------------------------------------------
 
 

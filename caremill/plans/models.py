@@ -197,6 +197,31 @@ class Models:
         }
 
 
+# The columns that the lean reports read of each serving table.
+REPORT_COLUMNS = {
+    "dim_patients": (
+        "patient_id", "state", "gender", "age_band", "signup_date", "signup_cohort_month", "signup_channel",
+        "first_touch_channel", "acquisition_cost",
+    ),
+    "fct_appointments": (
+        "appointment_id", "provider_specialty", "patient_state", "patient_signup_channel", "appointment_type", "status",
+        "is_completed", "is_no_show", "is_cancelled", "lead_time_days", "appointment_date", "appointment_week",
+        "appointment_month",
+    ),
+    "fct_mrr_daily": ("calendar_date", "active_subscriptions", "mrr", "arr", "arpu"),
+    "mart_marketing_attribution": (
+        "channel", "campaign", "signups", "subscribers", "active_subscribers", "total_spend", "cac_per_signup",
+        "cac_per_subscriber", "active_mrr",
+    ),
+}
+
+
+def report_view(views: dict[str, DataFrame], table: str) -> DataFrame:
+    """The columns of a serving table that the lean reports read; the daily revenue in order of days."""
+    view = views[table].select(*REPORT_COLUMNS[table])
+    return view.orderBy("calendar_date") if table == "fct_mrr_daily" else view
+
+
 def register_views(views: dict[str, DataFrame]) -> None:
     """Make serving tables available to SQL by name."""
     for name, df in views.items():

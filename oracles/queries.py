@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caremill.plans.quality import MODEL_CHECKS, RAW_CHECKS, Check
+from oracles.checks import MODELS, RAW, Expected
 from oracles.parts import STAMP, with_parts
 
 _SQL: dict[str, str] = {}
@@ -210,6 +210,25 @@ _LANDED = """
 _SQL["land_glob"] = _LANDED.replace("EXTRA", """, '999-' || c_custkey AS "SSN", c_name AS "LAST" """)
 _SQL["land_drop_tier1"] = _LANDED.replace("EXTRA", f", {STAMP} AS _loaded_at")
 
+# What is landed by a second full refresh of the care and clinical exports.
+_SQL["land_full_refresh"] = """
+  SELECT provider_id, provider_name, specialty, created_at::VARCHAR AS created_at, _loaded_at FROM t_providers"""
+_SQL["land_registry"] = _SQL["land_drop_tier1"]
+
+# -- serving views
+
+_SQL["view_patients"] = "SELECT * EXCLUDE (last_touch_channel, marketing_touch_count) FROM m_dim_patients"
+_SQL["view_appointments"] = """
+  SELECT appointment_id, provider_specialty, patient_state, signup_channel AS patient_signup_channel, appointment_type,
+         status, is_completed, is_no_show, is_cancelled, lead_time_days, appointment_date, appointment_week,
+         appointment_month
+  FROM m_appointments"""
+_SQL["view_mrr"] = "SELECT calendar_date, active_subscriptions, mrr, arr, arpu FROM m_mrr"
+_SQL["view_marketing"] = """
+  SELECT channel, campaign, signups, subscribers, active_subscribers, total_spend, cac_per_signup, cac_per_subscriber,
+         active_mrr
+  FROM m_marketing"""
+
 # -- syncs
 
 for _name in ("sync_merge", "sync_merge_stored", "stream_merge"):
@@ -282,7 +301,7 @@ _CHECKED = {
 }
 
 
-def _check_sql(table: str, check: Check) -> str:
+def _check_sql(table: str, check: Expected) -> str:
     source, columns = _CHECKED[table], ", ".join(check.columns)
     if check.kind == "not_null":
         failures = f"SELECT count(*) - count({columns}) FROM {source}"
@@ -300,8 +319,8 @@ def _check_sql(table: str, check: Check) -> str:
     return f"SELECT '{table}' AS table_name, '{label}' AS check_name, '{severity}' AS severity, ({failures}) AS failures"
 
 
-for _name, _checks in {"check_suite": MODEL_CHECKS, "check_suite_raw": RAW_CHECKS}.items():
-    _each = "\n  UNION ALL ".join(_check_sql(table, check) for table, checks in _checks.items() for check in checks)
+for _name, _checks in {"check_suite": MODELS, "check_suite_raw": RAW}.items():
+    _each = "\n  UNION ALL ".join(_check_sql(check.table, check) for check in _checks)
     _SQL[_name] = f"SELECT *, if(failures = 0, 'pass', severity) AS status FROM (\n  {_each})"
 
 

@@ -17,7 +17,7 @@ WRITES = {
     "check_suite", "check_suite_raw", "check_banned_columns", "check_artifacts", "artifact_columns", "land_text",
     "land_glob", "land_drop_tier1", "sync_replace", "sync_merge_stored", "snapshot_stored", "stream_append", "stream_merge",
     "incremental_appointments", "sync_append_stored", "sync_append_recent", "sync_cursor_state", "sync_merge_lookback",
-    "stream_append_lookback",
+    "stream_append_lookback", "land_full_refresh", "land_registry",
 }
 
 
