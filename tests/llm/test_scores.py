@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from caremill.llm import align, impacts, whitening
+from caremill.llm import align, impacts, vectors, whitening
 from caremill.llm.catalogue import QUERIES
 from caremill.llm.tokens import _BYTE_LETTERS
 from tests.llm import brute
@@ -212,3 +212,10 @@ def test_a_matrix_that_needs_the_shift_is_factored():
     gram = np.outer([1.0, 2.0, 3.0], [1.0, 2.0, 3.0])
     r = whitening._factor(gram, 10, True)
     assert np.allclose(r.T @ r, gram, atol=1e-2) and pa is not None
+
+
+def test_a_row_without_label_does_not_hide_one_with_it(spark):
+    rows = [(1, [1.0, 0.0], "x"), (1, [1.0, 0.0], None), (2, [1.0, 0.01], "x"), (3, [1.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label string")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
