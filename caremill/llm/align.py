@@ -58,7 +58,7 @@ class ByteLevel(Vocabulary):
     """A byte-level vocabulary of the tokenizers library; a text is encoded with a space before it."""
 
     def __init__(self, path: str) -> None:
-        self.encoder = Encoder(path, True, KEPT_WORDS)
+        self.encoder = Encoder(path, True, KEPT_WORDS, names_are_text=True)
         known = self.encoder.library.get_vocab(with_added_tokens=True)
         byte_of = {letter: byte for byte, letter in _BYTE_LETTERS.items()}
         tokens = [b""] * (1 + max(known.values()))

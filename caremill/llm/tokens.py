@@ -2,7 +2,8 @@
 
 Most words of a corpus have been seen before, so a worker keeps the ids of whole words and only hands new
 ones to the library. Texts are cut where the vocabulary's own pattern always cuts, so the ids are
-those of the whole text; texts in which that is not certain are encoded as a whole.
+those of the whole text; texts in which that is not certain are encoded as a whole. Names of special tokens inside a text
+give what the library gives, their ids, unless they are asked to be ordinary text.
 """
 
 from __future__ import annotations
@@ -60,14 +61,17 @@ class _Kept(dict):
 
 class Encoder:
     """``spaced``: a byte-level vocabulary, in which a word holds the space before it. Else white space is
-    dropped and A-Z are lower-cased by the vocabulary itself."""
+    dropped and A-Z are lower-cased by the vocabulary itself. ``names_are_text``: names of special tokens inside a text are
+    ordinary text."""
 
-    def __init__(self, path: str, spaced: bool, kept_words: int = KEPT_WORDS) -> None:
+    def __init__(self, path: str, spaced: bool, kept_words: int = KEPT_WORDS, names_are_text: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their names in a text are ordinary text
+        self.library.encode_special_tokens = names_are_text
+        added = [] if names_are_text else self.library.get_added_tokens_decoder().values()
+        self.names = [token.content.encode() for token in added]
         self.model, self.normalizer = self.library.model, self.library.normalizer
         self.spaced, self.kept_words = spaced, kept_words
         self.clear()
@@ -95,7 +99,8 @@ class Encoder:
         data, bounds = text_bytes(texts)
         end = array("I", [end_id]).tobytes()
         raw, plain, after_space = data.tobytes(), self.plain.__getitem__, self.after_space.__getitem__
-        whole = self._uncertain(data, bounds) if self.spaced else ()
+        whole = self._uncertain(data, bounds) if self.spaced else set()
+        whole |= self._naming(raw, bounds)
         encoded = []
         for i, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             text = raw[lo:hi]
@@ -110,6 +115,16 @@ class Encoder:
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
         return np.frombuffer(b"".join(encoded), np.uint32), np.concatenate([[0], np.cumsum(sizes)])
 
+    def _naming(self, raw: bytes, bounds: np.ndarray) -> set[int]:
+        """Texts in which a special token may be named. The library looks for names before it lower-cases."""
+        found, searched = set(), raw if self.spaced else raw.lower()
+        for name in self.names:
+            at = searched.find(name)
+            while at >= 0:
+                found.add(int(np.searchsorted(bounds, at, "right")) - 1)
+                at = searched.find(name, at + 1)
+        return found
+
     def _uncertain(self, data: np.ndarray, bounds: np.ndarray) -> set[int]:
         """Texts in which a cut before each space might not be the pattern's: a space between other white
         space, or white space beyond ASCII."""

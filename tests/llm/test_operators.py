@@ -155,7 +155,6 @@ def test_decontamination(spark, documents, empty, part_bytes):
 
 def _ids(file, text):
     library = Tokenizer.from_file(public_tokenizers.path(file))
-    library.encode_special_tokens = True
     return library.encode(text or "", add_special_tokens=False).ids
 
 
