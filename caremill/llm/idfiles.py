@@ -8,21 +8,24 @@ else has its bit) and keeps a fingerprint per key, so that keys the shard does n
 File format, little-endian, each block padded to 8 bytes:
 
     header   8 x uint64: magic, keys n, records r, ids, bytes per id, levels, records without key, 0
-    levels   per level: uint64 count of words, uint64 count of bits set before it, the words (uint64)
+    list     per level: uint64 count of blocks, uint64 count of bits set on the levels before it
+    levels   per level its blocks: uint64 count of bits set before the block on its level, 8 x uint64 of bits
     slots    n x (uint32 fingerprint, uint32 number of records, uint64 first record)
     keys     r x int64: the key of each record (0 where there is none), to list what a shard holds
-    bounds   (r + 1) x uint64: ids before each record
+    bounds   (r + 1) x int64: ids before each record
     payload  ids
 
-A record is one row. Rows that repeat a key are successive records of that key, in order of their
-texts; rows without key come first in their shard and have no slot. A null or empty text is the end id alone.
-An empty table makes no shard. Other columns are not looked at.
+A record is one row. Rows that repeat a key are successive records of that key, in order of hashes of their
+texts, and may go over the edge of a shard; rows without key come first in their shard and have no slot. A null or empty
+text is the end id alone. Texts of any length are one record. An empty table makes no shard. Other columns are not looked
+at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,15 @@ from caremill.llm.storage import configure, scratch
 from caremill.llm.tokens import encoder
 from caremill.llm.words import blocks, mix, ranges
 
-MAGIC = 0x3130534449544B4F
+MAGIC = 0x3230534449544B4F
 #: Bits per key and level; more of them mean fewer levels.
 GAMMA = 2
 MOST_LEVELS = 64
 
+#: A block of a level, and the entry of a key.
+BLOCK = np.dtype([("ahead", "<u8"), ("words", "<u8", 8)])
+SLOT = np.dtype([("print", "<u4"), ("records", "<u4"), ("first", "<u8")])
+
 _SHARD = "shard bigint, path string, first_key bigint, last_key bigint, ids bigint"
 
 
@@ -51,11 +58,32 @@ def _fingerprint(keys: np.ndarray) -> np.ndarray:
     return (mix(keys.view(np.uint64) ^ np.uint64(0xA5A5A5A55A5A5A5A)) >> np.uint64(32)).astype(np.uint32)
 
 
+class Stored:
+    """An array within a file, of which only the entries asked for are read."""
+
+    def __init__(self, source: pa.NativeFile, dtype: np.dtype | str, count: int, at: int) -> None:
+        self.source, self.dtype, self.count, self.at = source, np.dtype(dtype), count, at
+
+    def __len__(self) -> int:
+        return self.count
+
+    def _read(self, first: int, n: int) -> np.ndarray:
+        size = self.dtype.itemsize
+        return np.frombuffer(self.source.read_at(n * size, self.at + first * size), self.dtype)
+
+    def __getitem__(self, which: slice | np.ndarray) -> np.ndarray:
+        if isinstance(which, slice):
+            first, end, _ = which.indices(self.count)
+            return self._read(first, max(end - first, 0))
+        return np.concatenate([np.zeros(0, self.dtype), *[self._read(int(i), 1) for i in which]])
+
+
 @dataclass
 class PerfectHash:
-    """``before[i]`` bits are set on the levels ahead of level i, whose bits are ``levels[i]``."""
+    """``before[i]`` bits are set on the levels ahead of level i. A level is an array of blocks of 512 bits, each with the
+    number of bits set ahead of it on its level, so a lookup takes one block of each level it tries."""
 
-    levels: list[np.ndarray]
+    levels: list[np.ndarray | Stored]
     before: list[int]
 
     @classmethod
@@ -65,10 +93,14 @@ class PerfectHash:
         while len(keys):
             if len(levels) == MOST_LEVELS:
                 raise ValueError("keys must be distinct")
-            bits = -(-GAMMA * len(keys) // 64) * 64
+            bits = -(-GAMMA * len(keys) // 512) * 512
             at = _level_bit(keys, len(levels), bits)
             alone = np.bincount(at.astype(np.int64), minlength=bits) == 1
-            levels.append(np.packbits(alone, bitorder="little").view("<u8"))
+            blocks = np.zeros(bits // 512, BLOCK)
+            blocks["words"] = np.packbits(alone, bitorder="little").view("<u8").reshape(-1, 8)
+            ones = np.bitwise_count(blocks["words"]).sum(axis=1, dtype=np.uint64)
+            blocks["ahead"] = np.cumsum(ones) - ones
+            levels.append(blocks)
             before.append(placed)
             placed += int(alone.sum())
             keys = keys[~alone[at.astype(np.int64)]]
@@ -78,14 +110,17 @@ class PerfectHash:
         """0..n-1, each once, for the n keys it was made for; -1 or any slot for others."""
         out = np.full(len(keys), -1, np.int64)
         todo = np.arange(len(keys))
-        for level, (words, before) in enumerate(zip(self.levels, self.before)):
-            at = _level_bit(keys[todo], level, 64 * len(words))
-            word, bit = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-            hit = (words[word] >> bit) & np.uint64(1) == 1
-            ones = np.bitwise_count(words).astype(np.int64)
-            rank = before + (np.cumsum(ones) - ones)[word] + np.bitwise_count(
-                words[word] & ((np.uint64(1) << bit) - np.uint64(1))
-            )
+        for level, (blocks, before) in enumerate(zip(self.levels, self.before)):
+            if not len(todo):
+                break
+            at = _level_bit(keys[todo], level, 512 * len(blocks))
+            block = blocks[(at >> np.uint64(9)).astype(np.int64)]
+            word, bit = (at >> np.uint64(6) & np.uint64(7)).astype(np.int64), at & np.uint64(63)
+            own = block["words"][np.arange(len(todo)), word]
+            hit = (own >> bit) & np.uint64(1) == 1
+            ones = np.bitwise_count(block["words"]) * (np.arange(8) < word[:, None])
+            below = np.bitwise_count(own & ((np.uint64(1) << bit) - np.uint64(1)))
+            rank = before + block["ahead"].astype(np.int64) + ones.sum(axis=1, dtype=np.int64) + below
             out[todo[hit]] = rank[hit]
             todo = todo[~hit]
         return out
@@ -97,40 +132,40 @@ def shard_bytes(keys: list[int | None], ids: np.ndarray, bounds: np.ndarray, wid
     known = np.array(keys[without:], np.int64)
     distinct, first, times = np.unique(known, return_index=True, return_counts=True)
     index = PerfectHash.of(distinct)
-    slots = np.zeros(len(distinct), [("print", "<u4"), ("records", "<u4"), ("first", "<u8")])
+    slots = np.zeros(len(distinct), SLOT)
     at = index.slot(distinct)
     slots["print"][at], slots["records"][at], slots["first"][at] = _fingerprint(distinct), times, first + without
     parts = [
         np.array([MAGIC, len(distinct), len(keys), len(ids), width, len(index.levels), without, 0], "<u8").tobytes()
     ]
-    for words, before in zip(index.levels, index.before):
-        parts += [np.array([len(words), before], "<u8").tobytes(), words.tobytes()]
+    parts += [np.array([len(blocks), before], "<u8").tobytes() for blocks, before in zip(index.levels, index.before)]
+    parts += [blocks.tobytes() for blocks in index.levels]
     payload = ids.astype(f"<u{width}").tobytes()
     listed = np.concatenate([np.zeros(without, np.int64), known])
-    return b"".join([*parts, slots.tobytes(), listed.tobytes(), bounds.astype("<u8").tobytes(), payload, bytes(-len(payload) % 8)])
+    return b"".join([*parts, slots.tobytes(), listed.tobytes(), bounds.astype("<i8").tobytes(), payload, bytes(-len(payload) % 8)])
 
 
 class Shard:
-    """A shard read from its bytes; arrays are views, nothing is parsed."""
+    """A shard by its arrays; nothing is parsed. ``array`` gives one by type, length and place in the file: a view of bytes
+    that have been read, or one that reads what is asked for."""
 
-    def __init__(self, raw: bytes | memoryview) -> None:
-        head = np.frombuffer(raw, "<u8", 8)
+    def __init__(self, array: Callable[[np.dtype | str, int, int], np.ndarray | Stored]) -> None:
+        head = array("<u8", 8, 0)[:]
         if head[0] != MAGIC:
             raise ValueError("not a shard of token ids")
         n, self.records, ids, width, levels, self.without_key = (int(x) for x in head[1:7])
-        at, words, before = 64, [], []
-        for _ in range(levels):
-            count, ahead = (int(x) for x in np.frombuffer(raw, "<u8", 2, at))
-            words.append(np.frombuffer(raw, "<u8", count, at + 16))
-            before.append(ahead)
-            at += 16 + 8 * count
-        self.index = PerfectHash(words, before)
-        self.slots = np.frombuffer(raw, [("print", "<u4"), ("records", "<u4"), ("first", "<u8")], n, at)
-        at += 16 * n
-        self.keys = np.frombuffer(raw, "<i8", self.records, at)
+        listed = array("<u8", 2 * levels, 64)[:].reshape(-1, 2).tolist()
+        at, blocks = 64 + 16 * levels, []
+        for count, _ in listed:
+            blocks.append(array(BLOCK, count, at))
+            at += BLOCK.itemsize * count
+        self.index = PerfectHash(blocks, [before for _, before in listed])
+        self.slots = array(SLOT, n, at)
+        at += SLOT.itemsize * n
+        self.keys = array("<i8", self.records, at)
         at += 8 * self.records
-        self.bounds = np.frombuffer(raw, "<u8", self.records + 1, at).astype(np.int64)
-        self.ids = np.frombuffer(raw, f"<u{width}", ids, at + 8 * (self.records + 1))
+        self.bounds = array("<i8", self.records + 1, at)
+        self.ids = array(f"<u{width}", ids, at + 8 * (self.records + 1))
 
     def records_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first record, number of records) of each key; none for keys that are not here."""
@@ -144,7 +179,8 @@ class Shard:
     def get(self, key: int) -> list[np.ndarray]:
         """The ids of each record of a key."""
         first, n = (int(x[0]) for x in self.records_of(np.array([key], np.int64)))
-        return [self.ids[self.bounds[i] : self.bounds[i + 1]] for i in range(first, first + n)]
+        bounds = self.bounds[first : first + n + 1].tolist()
+        return [self.ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:])]
 
 
 def write(documents: DataFrame, folder: str, vocabulary: str, end_id: int, shards: int | None = None) -> DataFrame:
@@ -182,9 +218,9 @@ def write(documents: DataFrame, folder: str, vocabulary: str, end_id: int, shard
             pa.schema([(c, pa.string() if c == "path" else pa.int64()) for c in ("shard", "path", "first_key", "last_key", "ids")]),
         )
 
-    ordered = (
-        documents.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    )
+    # Rows without doc_id, and rows that repeat one, are spread by their texts.
+    spread = ["doc_id", F.xxhash64("text")]
+    ordered = documents.select("doc_id", "text").repartitionByRange(n, *spread).sortWithinPartitions(*spread, "text")
     ordered.mapInArrow(run, _SHARD).write.parquet(f"{folder}/list")
     # One row for each shard, whatever the number of documents.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -196,7 +232,8 @@ def write(documents: DataFrame, folder: str, vocabulary: str, end_id: int, shard
 def _opened(path: str) -> Shard:
     system, place = fs.FileSystem.from_uri(path)
     with system.open_input_stream(place) as source:
-        return Shard(source.read())
+        raw = source.read()
+    return Shard(lambda dtype, count, at: np.frombuffer(raw, dtype, count, at))
 
 
 def read(shards: DataFrame) -> DataFrame:
@@ -229,9 +266,15 @@ def read(shards: DataFrame) -> DataFrame:
 
 
 def get(shards: DataFrame, key: int) -> list[np.ndarray]:
-    """The ids of each record of one key. A key's records may go over the edge of a shard."""
+    """The ids of each record of one key. A key's records may go over the edge of a shard. Of a shard the header, a block
+    of each level tried, one slot, and the records' bounds and ids are read, whatever its size."""
     rows = shards.filter(F.lit(key).between(F.col("first_key"), F.col("last_key"))).orderBy("shard").collect()
-    return [ids for row in rows for ids in _opened(row["path"]).get(key)]
+    found = []
+    for row in rows:
+        system, place = fs.FileSystem.from_uri(row["path"])
+        with system.open_input_file(place) as source:
+            found += Shard(partial(Stored, source)).get(key)
+    return found
 
 
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
