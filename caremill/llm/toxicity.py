@@ -12,7 +12,8 @@ smallest hashes of their ids): at most MOST_POSITIVE confirmed and MOST_UNLABELL
 
 Cases: null and empty texts have no features and get the score of the bias alone; without any confirmed toxic
 text every score is 0; a label that is null, or of a row without id, teaches nothing; repeated rows are
-scored each for itself.
+scored each for itself. Texts of any length are taken whole. Samples are drawn by id, so ties need no rule; an empty table
+of documents gives no rows, an empty table of labels the score 0.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from caremill.llm.storage import configure
 
 MOST_POSITIVE = 20_000
 MOST_UNLABELLED = 40_000
-#: Features that are counted over the corpus: those that most positives have. At least this many positives must have one.
-MOST_FEATURES = 100_000
+#: A feature is counted over the corpus if at least this many positives have it. All such are, so the bounded sample of
+#: positives alone bounds their number.
 LEAST_POSITIVE = 4
 #: A feature counts if positives have it this many times as often as the corpus, by so many standard deviations.
 LEAST_RATIO, LEAST_DEVIATION = 4.0, 6.0
@@ -201,13 +202,7 @@ def fit(documents: DataFrame, toxic: DataFrame, prior: float | None = None) -> C
         prior = labels.agg(F.avg("toxic")).first()[0]
     prior = min(max(prior, 1e-4), 0.5)
 
-    table = (
-        _counts(positive, None)
-        .filter(F.col("n") >= min(LEAST_POSITIVE, n_positive))
-        .orderBy(F.desc("n"), "key")
-        .limit(MOST_FEATURES)
-        .toArrow()
-    )
+    table = _counts(positive, None).filter(F.col("n") >= min(LEAST_POSITIVE, n_positive)).toArrow()
     keys, having = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(keys)
     keys, having = keys[order], having[order]
