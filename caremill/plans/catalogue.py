@@ -17,7 +17,7 @@ from caremill.operators import versions
 from caremill.operators.history import as_of
 from caremill.operators.ordered import OrderedRows
 from caremill.plans import bi, clinical, quality
-from caremill.plans.models import SCHEMAS, Models, publish_tables, report_view
+from caremill.plans.models import SCHEMAS, Models, publish_tables, report_view, served
 from caremill.session import configure, scratch_path
 from caremill.sources import bindings, landing, stored
 from caremill.sources.artifacts import artifact_columns
@@ -51,6 +51,16 @@ def _models(name: str, pick: Callable[[Models], DataFrame], **raw: bool) -> None
     QUERIES[name] = run
 
 
+def _tile(name: str, pick: Callable[[Models], DataFrame], *reads: str) -> None:
+    """Register a query that reads written serving tables and nothing else."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        configure(spark)
+        return pick(served(RawTables(spark, folder), reads))
+
+    QUERIES[name] = run
+
+
 # -- staging, intermediate and marts --------------------------------------------------------
 
 _models("mrr_daily", lambda m: m.fct_mrr_daily)
@@ -81,24 +91,28 @@ _models("plan_transitions", lambda m: m.plan_transitions)
 
 # -- dashboards -----------------------------------------------------------------------------
 
-_models("bi_overview", lambda m: bi.overview(m.dim_patients, m.fct_mrr_daily, m.fct_appointments, m.marketing))
-_models("bi_mrr_trend", lambda m: bi.mrr_trend(m.fct_mrr_daily))
-_models("bi_mrr_headline_trend", lambda m: bi.mrr_headline_trend(m.fct_mrr_daily))
+_tile(
+    "bi_overview",
+    lambda m: bi.overview(m.dim_patients, m.fct_mrr_daily, m.fct_appointments, m.marketing),
+    "dim_patients", "fct_mrr_daily", "fct_appointments", "marketing",
+)
+_tile("bi_mrr_trend", lambda m: bi.mrr_trend(m.fct_mrr_daily), "fct_mrr_daily")
+_tile("bi_mrr_headline_trend", lambda m: bi.mrr_headline_trend(m.fct_mrr_daily), "fct_mrr_daily")
 _models("bi_sub_stats", lambda m: bi.subscription_stats(m.subscriptions))
 _models("bi_plan_mix", lambda m: bi.active_plan_mix(m.subscriptions))
-_models("bi_appt_kpis", lambda m: bi.appointment_kpis(m.fct_appointments))
-_models("bi_appts_week", lambda m: bi.appointments_by_week(m.fct_appointments))
-_models("bi_noshow_specialty", lambda m: bi.no_show_by_specialty(m.fct_appointments))
-_models("bi_appts_type", lambda m: bi.appointments_by_type(m.fct_appointments))
-_models("bi_channels", lambda m: bi.channels(m.marketing))
-_models("bi_mkt_kpis", lambda m: bi.marketing_kpis(m.marketing))
-_models("bi_by_channel", lambda m: bi.marketing_by_channel(m.marketing))
-_models("bi_by_channel_like", lambda m: bi.marketing_by_channel(m.marketing, "%i%"))
-_models("bi_mkt_detail", lambda m: bi.marketing_detail(m.marketing))
-_models("bi_enc_kpis", lambda m: bi.encounter_kpis(m.clinical_encounters))
-_models("bi_enc_month", lambda m: bi.encounters_by_month(m.clinical_encounters))
-_models("bi_enc_class", lambda m: bi.cost_by_class(m.clinical_encounters))
-_models("bi_enc_demo", lambda m: bi.encounters_by_demographics(m.clinical_encounters))
+_tile("bi_appt_kpis", lambda m: bi.appointment_kpis(m.fct_appointments), "fct_appointments")
+_tile("bi_appts_week", lambda m: bi.appointments_by_week(m.fct_appointments), "fct_appointments")
+_tile("bi_noshow_specialty", lambda m: bi.no_show_by_specialty(m.fct_appointments), "fct_appointments")
+_tile("bi_appts_type", lambda m: bi.appointments_by_type(m.fct_appointments), "fct_appointments")
+_tile("bi_channels", lambda m: bi.channels(m.marketing), "marketing")
+_tile("bi_mkt_kpis", lambda m: bi.marketing_kpis(m.marketing), "marketing")
+_tile("bi_by_channel", lambda m: bi.marketing_by_channel(m.marketing), "marketing")
+_tile("bi_by_channel_like", lambda m: bi.marketing_by_channel(m.marketing, "%i%"), "marketing")
+_tile("bi_mkt_detail", lambda m: bi.marketing_detail(m.marketing), "marketing")
+_tile("bi_enc_kpis", lambda m: bi.encounter_kpis(m.clinical_encounters), "clinical_encounters")
+_tile("bi_enc_month", lambda m: bi.encounters_by_month(m.clinical_encounters), "clinical_encounters")
+_tile("bi_enc_class", lambda m: bi.cost_by_class(m.clinical_encounters), "clinical_encounters")
+_tile("bi_enc_demo", lambda m: bi.encounters_by_demographics(m.clinical_encounters), "clinical_encounters")
 _models("bi_hist_headline", lambda m: bi.history_headline(m.plan_periods))
 _models("bi_directions", lambda m: bi.plan_directions(m.plan_transitions))
 _models("bi_mrr_compare", lambda m: bi.mrr_comparison(m.plan_mix, m.fct_mrr_daily), recent=True)
@@ -107,10 +121,10 @@ _models("bi_busiest", lambda m: bi.busiest_timelines(m.plan_periods))
 
 # -- lean reports ---------------------------------------------------------------------------
 
-_models("view_patients", lambda m: report_view(m.serving_views(), "dim_patients"))
-_models("view_appointments", lambda m: report_view(m.serving_views(), "fct_appointments"))
-_models("view_mrr", lambda m: report_view(m.serving_views(), "fct_mrr_daily"))
-_models("view_marketing", lambda m: report_view(m.serving_views(), "mart_marketing_attribution"))
+_tile("view_patients", lambda m: report_view(m.serving_views(), "dim_patients"), "dim_patients")
+_tile("view_appointments", lambda m: report_view(m.serving_views(), "fct_appointments"), "fct_appointments")
+_tile("view_mrr", lambda m: report_view(m.serving_views(), "fct_mrr_daily"), "fct_mrr_daily")
+_tile("view_marketing", lambda m: report_view(m.serving_views(), "mart_marketing_attribution"), "marketing")
 
 # -- checks ---------------------------------------------------------------------------------
 
@@ -163,8 +177,9 @@ _models("check_k_anonymity", lambda m: quality.small_cells(m.clinical_encounters
 @query
 def check_suite(spark: SparkSession, folder: str) -> DataFrame:
     """All declared model checks, on tables written first as they would be in production."""
-    built = publish_tables(spark, Models(RawTables(spark, folder)).tables(), scratch_path(spark, "suite"))
-    return quality.run_checks(quality.MODEL_CHECKS, {table: df for (_, table), df in built.items()})
+    m = Models(RawTables(spark, folder))
+    m.publish(scratch_path(spark, "suite"))
+    return quality.run_checks(quality.MODEL_CHECKS, {table: df for (_, table), df in m.tables().items()})
 
 
 @query

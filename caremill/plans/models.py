@@ -1,12 +1,13 @@
 """All models wired together over one set of raw tables.
 
 Each property is a DataFrame that nothing has computed yet, so a query over one of them is planned
-as a whole: only the columns it needs are read. Long-lived serving tables are written with
-``publish_tables`` and read back, as dashboards do.
+as a whole: only the columns it needs are read. ``publish`` writes tables layer by layer, each read back by the next;
+dashboards read serving tables from where ``served`` has written them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import cached_property
 
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caremill.operators.skew import HotKeys, find_hot_keys
 from caremill.plans import care, clinical, staging
+from caremill.session import scratch_path
 from caremill.sources.bindings import EVENTS_AS_OF, ORDERS_AS_OF, REVENUE_START, RawTables
 
 # Schema of each layer's tables.
@@ -26,6 +28,28 @@ SCHEMAS = {
     "clinical_marts": "ehr_marts",
 }
 
+# Schema and table of each model that is written, every one after those it is built on.
+TABLES = {
+    "patients": (SCHEMAS["staging"], "stg_patients"),
+    "providers": (SCHEMAS["staging"], "stg_providers"),
+    "appointments": (SCHEMAS["staging"], "stg_appointments"),
+    "subscriptions": (SCHEMAS["staging"], "stg_subscriptions"),
+    "subscription_events": (SCHEMAS["staging"], "stg_subscription_events"),
+    "touchpoints": (SCHEMAS["staging"], "stg_marketing_touchpoints"),
+    "clinical_patients": (SCHEMAS["clinical_internal"], "stg_ehr__patients"),
+    "encounters": (SCHEMAS["clinical_internal"], "stg_ehr__encounters"),
+    "payer_transitions": (SCHEMAS["clinical_internal"], "stg_ehr__payer_transitions"),
+    "payer_periods": (SCHEMAS["clinical_internal"], "int_ehr__payer_periods_folded"),
+    "dim_patients": (SCHEMAS["marts"], "dim_patients"),
+    "dim_providers": (SCHEMAS["marts"], "dim_providers"),
+    "subscription_history": (SCHEMAS["marts"], "dim_subscription_history"),
+    "fct_appointments": (SCHEMAS["marts"], "fct_appointments"),
+    "fct_mrr_daily": (SCHEMAS["marts"], "fct_mrr_daily"),
+    "fct_subscriptions": (SCHEMAS["marts"], "fct_subscriptions"),
+    "marketing": (SCHEMAS["marts"], "mart_marketing_attribution"),
+    "clinical_encounters": (SCHEMAS["clinical_marts"], "mart_clinical_encounters"),
+}
+
 
 class Models:
     def __init__(
@@ -161,28 +185,18 @@ class Models:
 
     def tables(self) -> dict[tuple[str, str], DataFrame]:
         """Staged and serving tables by (schema, table)."""
-        s = SCHEMAS
-        return {
-            (s["staging"], "stg_patients"): self.patients,
-            (s["staging"], "stg_providers"): self.providers,
-            (s["staging"], "stg_appointments"): self.appointments,
-            (s["staging"], "stg_subscriptions"): self.subscriptions,
-            (s["staging"], "stg_subscription_events"): self.subscription_events,
-            (s["staging"], "stg_marketing_touchpoints"): self.touchpoints,
-            (s["clinical_internal"], "stg_ehr__patients"): self.clinical_patients,
-            (s["clinical_internal"], "stg_ehr__encounters"): self.encounters,
-            (s["clinical_internal"], "stg_ehr__payer_transitions"): self.payer_transitions,
-            (s["clinical_internal"], "int_ehr__payer_periods_folded"): self.payer_periods,
-            (s["marts"], "dim_patients"): self.dim_patients,
-            (s["marts"], "dim_providers"): self.dim_providers,
-            (s["marts"], "dim_subscription_history"): self.subscription_history,
-            (s["marts"], "fct_appointments"): self.fct_appointments,
-            (s["marts"], "fct_mrr_daily"): self.fct_mrr_daily,
-            (s["marts"], "fct_subscriptions"): self.fct_subscriptions,
-            (s["marts"], "mart_marketing_attribution"): self.marketing,
-            (s["clinical_marts"], "mart_clinical_encounters"): self.clinical_encounters,
-        }
+        return {place: getattr(self, model) for model, place in TABLES.items()}
+
+    def publish(self, root: str, models: Sequence[str] | None = None) -> None:
+        """Write models (all that are tables, unless given) to ``root/schema/table``, and take each from there from
+        then on, so that what is built on it reads the written rows instead of deriving them again."""
+        for model, place in TABLES.items():
+            if models is None or model in models:
+                self.read_back(model, publish_tables(self.raw.spark, {place: getattr(self, model)}, root)[place])
 
+    def read_back(self, model: str, written: DataFrame) -> None:
+        """Take a model from its written table."""
+        self.__dict__[model] = written
 
     def serving_views(self) -> dict[str, DataFrame]:
         """What dashboards may read, by view name. Current subscriptions are a view of the fact."""
@@ -233,3 +247,22 @@ def publish_tables(spark: SparkSession, tables: dict[tuple[str, str], DataFrame]
     for (schema, table), df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{schema}/{table}")
     return {name: spark.read.parquet(f"{root}/{name[0]}/{name[1]}") for name in tables}
+
+
+# Where this driver has written serving tables: by application, folder, state of its files, and model.
+_SERVED: dict[tuple, str] = {}
+
+
+def served(raw: RawTables, models: Sequence[str]) -> Models:
+    """Models of which the named ones are read from written tables. Each is written once for a state of the raw files (their
+    number, size and last change), by whoever asks first; a table that failed half-way is written anew elsewhere."""
+    spark, state = raw.spark, raw.state()
+    m = Models(raw)
+    for model in models:
+        key = spark.sparkContext.applicationId, raw.folder, state, model
+        if key not in _SERVED:
+            root = scratch_path(spark, "serving")
+            m.publish(root, [model])
+            _SERVED[key] = "/".join((root, *TABLES[model]))
+        m.read_back(model, spark.read.parquet(_SERVED[key]))
+    return m

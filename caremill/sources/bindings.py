@@ -71,6 +71,11 @@ class RawTables:
     def given(self, name: str) -> DataFrame:
         return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def state(self) -> tuple:
+        """Number, size and last change of the files, from their listing; none is opened."""
+        files = self.spark.read.format("binaryFile").load([f"{self.folder}/{name}.parquet" for name in GIVEN])
+        return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
+
     # -- care ---------------------------------------------------------------------------
 
     def patients(self) -> DataFrame:

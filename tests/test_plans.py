@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from caremill.operators.versions import latest_per_key, rows_after
+from caremill.plans import bi
 from caremill.plans.catalogue import QUERIES
 from caremill.plans.models import Models
-from caremill.sources.bindings import RawTables
+from caremill.sources.bindings import GIVEN, RawTables
 from compare import plan_of
 
 WRITES = {
@@ -36,7 +37,10 @@ def test_no_loops_and_no_python(name, spark, folder):
     ],
 )
 def test_scans_read_only_what_is_needed(name, columns, spark, folder):
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(QUERIES[name](spark, folder), "formatted"))
+    # The tile reads a written table; here it is planned down to the raw ones.
+    m = Models(RawTables(spark, folder))
+    df = bi.encounters_by_month(m.clinical_encounters) if name == "bi_enc_month" else QUERIES[name](spark, folder)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(df, "formatted"))
     read = [{field.split(":")[0] for field in schema.split(",")} for schema in schemas]
     big = [s for s in read if any(c.startswith(("l_", "o_")) for c in s)]
     allowed = columns | {"o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"}
@@ -71,3 +75,44 @@ def test_folding_shuffles_rows_once(spark, folder):
 def test_distinct_patients_are_reduced_per_cell_first(spark, folder):
     plan = plan_of(QUERIES["check_k_anonymity"](spark, folder))
     assert "partial_count(distinct" in plan
+
+
+TILES = {
+    "dim_patients": ["view_patients"],
+    "fct_mrr_daily": ["bi_mrr_trend", "bi_mrr_headline_trend", "view_mrr"],
+    "fct_appointments": ["bi_appt_kpis", "bi_appts_week", "bi_noshow_specialty", "bi_appts_type", "view_appointments"],
+    "mart_marketing_attribution": [
+        "bi_channels", "bi_mkt_kpis", "bi_by_channel", "bi_by_channel_like", "bi_mkt_detail", "view_marketing",
+    ],
+    "mart_clinical_encounters": ["bi_enc_kpis", "bi_enc_month", "bi_enc_class", "bi_enc_demo"],
+}
+
+
+@pytest.mark.parametrize(("table", "name"), [(table, name) for table, names in TILES.items() for name in names])
+def test_a_tile_scans_only_its_serving_table(table, name, spark, folder):
+    plan = plan_of(QUERIES[name](spark, folder), "formatted")
+    assert plan.count("Location:") == 1 and f"/{table}]" in plan and "Join" not in plan
+
+
+def test_the_overview_scans_four_serving_tables(spark, folder):
+    plan = plan_of(QUERIES["bi_overview"](spark, folder), "formatted")
+    places = set(re.findall(r"Location: .*/(\w+)\]", plan))
+    assert places == {"dim_patients", "fct_mrr_daily", "fct_appointments", "mart_marketing_attribution"}
+
+
+def test_changed_raw_files_are_served_anew(spark, folder, tmp_path):
+    own = str(tmp_path / "raw")
+    for name in GIVEN:
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{own}/{name}.parquet")
+    before = QUERIES["view_patients"](spark, own).count()
+    assert QUERIES["view_patients"](spark, own).count() == before
+    more = spark.read.parquet(f"{own}/customer.parquet").withColumn("c_custkey", F.col("c_custkey") + 1_000_000)
+    more.limit(5).write.mode("append").parquet(f"{own}/customer.parquet")
+    assert QUERIES["view_patients"](spark, own).count() == before + 5
+
+
+def test_layers_are_published_from_written_tables(spark, folder, tmp_path):
+    m = Models(RawTables(spark, folder))
+    m.publish(str(tmp_path / "all"), ["appointments", "providers", "patients"])
+    plan = plan_of(m.fct_appointments, "formatted")
+    assert "/stg_appointments]" in plan and "orders.parquet" not in plan
