@@ -3,6 +3,10 @@
 From each window of n consecutive words the k-gram with the smallest hash is its seed. Equal windows have
 equal seeds at the same place, so only windows whose seed occurs at two places can recur. Windows in a row that
 share one seed at one place form a phrase; phrases are what is compared, and most never leave their task.
+
+Phrases that share a seed meet in one task. A seed with many different phrases (a line of a few words that many pages
+hold between words of their own) would make that task grow with the corpus, so its phrases are taken apart into
+single windows. Equal windows are one row after a pre-aggregated count, and each recurring one is a group of its own.
 """
 
 from __future__ import annotations
@@ -16,12 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caremill.llm import words as W
-from caremill.llm.storage import stored
+from caremill.llm.storage import dropped, stored
 
-#: Phrases that are compared with one another at a time in a task, and in op3 make up one automaton.
+#: Phrases that are compared with one another at a time in a task.
 SHARD_PHRASES = 20_000
-# Words in a block are numbered with this many bits of a seed's sort key; the others are of its hash.
+#: A seed with more different phrases than this is replaced by the windows of its phrases.
+SEED_PHRASES = 1_000
+# Words are numbered with this many bits of a seed's sort key; the others are of its hash.
 _PLACE = np.uint64((1 << 24) - 1)
+# Words that are cut into phrases at a time; windows do not end there.
+_STEP = 1 << 23
 
 
 @dataclass
@@ -35,23 +43,28 @@ class Phrases:
     print: np.ndarray
 
 
-def phrases(words: W.Words, window: int, k: int) -> Phrases:
+def phrases(words: W.Words, window: int, k: int, step: int = _STEP) -> Phrases:
     """``print`` is a second hash, of all words of the phrase: (seed, print) names its contents."""
-    h = words.hashes()
+    h, fits = words.hashes(), words.fits(window)
+    first = range(0, max(len(h) - window + 1, 1), step)
+    parts = [_phrases(h[lo : lo + step + window - 1], fits[lo : lo + step], lo, window, k) for lo in first]
+    return Phrases(*map(np.concatenate, zip(*parts)))
+
+
+def _phrases(h: np.ndarray, fits: np.ndarray, begin: int, window: int, k: int) -> tuple[np.ndarray, ...]:
+    """Phrases among fewer words than ``_PLACE`` can number, the first of which is word ``begin``."""
     g = W.grams(h, k)
     wide = window - k + 1
     if len(g) < wide:
         none = np.zeros(0, np.int64)
-        return Phrases(none, none, none, none, none)
-    if len(h) > int(_PLACE):
-        raise ValueError("a text of more than 16 million words")
+        return none, none, none, none, none
     least = (g & ~_PLACE) | np.arange(len(g), dtype=np.uint64)
     size = 1
     while size * 2 <= wide:
         least, size = np.minimum(least[:-size], least[size:]), size * 2
     if size < wide:
         least = np.minimum(least[: len(least) - (wide - size)], least[wide - size :])
-    start = np.flatnonzero(words.fits(window)[: len(least)])
+    start = np.flatnonzero(fits[: len(least)])
     place = (least[start] & _PLACE).astype(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (place[1:] != place[:-1]) | (np.diff(start) != 1)
@@ -61,7 +74,7 @@ def phrases(words: W.Words, window: int, k: int) -> Phrases:
     whole = W.grams(h, window)
     # First and last window cover the phrase, since it has fewer than 2 * window words.
     mark = W.pair(W.pair(whole[lo], whole[lo + windows - 1]), windows.astype(np.uint64))
-    return Phrases(lo, windows, at, g[at].view(np.int64), mark.view(np.int64))
+    return lo + begin, windows, at + begin, g[at].view(np.int64), mark.view(np.int64)
 
 
 def one_row_per_id(documents: DataFrame) -> DataFrame:
@@ -73,13 +86,16 @@ def one_row_per_id(documents: DataFrame) -> DataFrame:
         return rows
     rest = [F.col(f"`{c}`").asc_nulls_last() for c in rows.columns if c not in ("doc_id", "text")]
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *rest)
-    again = rows.join(repeated, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(first))
-    return rows.join(repeated, "doc_id", "left_anti").unionByName(again.filter("_rank = 1").drop("_rank"))
+    # Longer than any column's name, so it clashes with none.
+    rank = "_" * max(map(len, rows.columns)) + "_rank"
+    again = rows.join(repeated, "doc_id", "left_semi").withColumn(rank, F.row_number().over(first))
+    return rows.join(repeated, "doc_id", "left_anti").unionByName(again.filter(f"{rank} = 1").drop(rank))
 
 
-def candidates(documents: DataFrame, window: int, k: int) -> DataFrame:
+def candidates(documents: DataFrame, window: int, k: int, crowd: int = SEED_PHRASES) -> tuple[DataFrame, DataFrame]:
     """The phrases whose seed occurs at two places or more, stored: seed, print, doc_id, start (the number of its
-    first word), windows, ahead (words before its seed). Counting is summed up in tasks, and a seed that many rows share is split in the join."""
+    first word), windows, ahead (words before its seed). Counting is summed up in tasks, and a seed that many rows share
+    is split in the join. Then the seeds with more than ``crowd`` different phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,8 +118,13 @@ def candidates(documents: DataFrame, window: int, k: int) -> DataFrame:
 
     fields = "seed bigint, print bigint, doc_id bigint, start int, windows smallint, ahead smallint"
     rows = documents.select("doc_id", "text").mapInArrow(W.trimmed(run), fields)
-    recurring = stored(rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "seeds")
-    return stored(rows.join(recurring, "seed", "left_semi"), "phrases")
+    counted = stored(rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "seeds")
+    found = stored(rows.join(counted.select("seed"), "seed", "left_semi"), "phrases")
+    often = found.join(counted.filter(F.col("n") > crowd).select("seed"), "seed", "left_semi")
+    different = often.groupBy("seed").agg(F.count_distinct("print").alias("n"))
+    crowded = stored(different.filter(F.col("n") > crowd).select("seed"), "crowded")
+    dropped(counted)
+    return found, crowded
 
 
 # A place in the corpus that sorts by document, then by word: doc_id * 2^32 + start, in one decimal.
@@ -111,15 +132,18 @@ _PLACE_SQL = "CAST(CAST(doc_id AS DECIMAL(20, 0)) * 4294967296 + start AS DECIMA
 _START_SQL = "pmod(low, 4294967296)"
 
 _TEXT = "seed bigint, print bigint, doc_id bigint, start int, again boolean, ahead smallint, phrase string"
+_WINDOWS = "seed bigint, print bigint, first smallint, own bigint, own_print bigint, doc_id bigint, start int, again boolean"
 _RUNS = "seed bigint, print bigint, first smallint, windows smallint, source_doc_id bigint, source_start int"
 
 
 def distinct_phrases(found: DataFrame) -> DataFrame:
-    """Each phrase once: seed, print, windows, ahead, its first place (doc_id, start) and whether it has another."""
+    """Each phrase once: seed, print, windows, ahead, its first place (doc_id, start) and whether it has another
+    (known already where a row says ``again``)."""
+    known = F.bool_or("again") if "again" in found.columns else F.lit(False)
     low_high = (
         found.withColumn("place", F.expr(_PLACE_SQL))
         .groupBy("seed", "print", "windows", "ahead")
-        .agg(F.min("place").alias("low"), F.max("place").alias("high"))
+        .agg(F.min("place").alias("low"), F.max("place").alias("high"), known.alias("known"))
     )
     return low_high.selectExpr(
         "seed",
@@ -128,15 +152,19 @@ def distinct_phrases(found: DataFrame) -> DataFrame:
         "ahead",
         f"CAST((low - {_START_SQL}) / 4294967296 AS BIGINT) AS doc_id",
         f"CAST({_START_SQL} AS INT) AS start",
-        "low < high AS again",
+        "known OR low < high AS again",
     )
 
 
-def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFrame:
-    """The words of each distinct phrase, cut out of the document where it is first."""
+def _with_wanted(documents: DataFrame, once: DataFrame) -> DataFrame:
     wanted = once.groupBy("doc_id").agg(
         F.collect_list(F.struct("seed", "print", "start", "again", "ahead", "windows")).alias("wanted")
     )
+    return documents.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted")
+
+
+def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFrame:
+    """The words of each distinct phrase, cut out of the document where it is first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +189,55 @@ def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFram
                     ["seed", "print", "doc_id", "start", "again", "ahead", "phrase"],
                 )
 
-    return documents.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(W.trimmed(run), _TEXT)
+    return _with_wanted(documents, once).mapInArrow(W.trimmed(run), _TEXT)
+
+
+def single_windows(documents: DataFrame, once: DataFrame, window: int) -> DataFrame:
+    """The windows of each distinct phrase: seed and print of the phrase, first (its number there), own and own_print
+    (two hashes of its words), doc_id and start (its place where the phrase is first), again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, text in W.blocks(batch, batch.column("text")):
+                words = W.split_words(text, W.NOT_SPACE)
+                h = words.hashes()
+                own, own_print = W.grams(h, window), W.grams(W.mix(h), window)
+                lists = part.column("wanted")
+                item, n = lists.flatten(), np.array(lists.value_lengths())
+                size = np.array(item.field("windows")).astype(np.int64)
+                of, t = np.repeat(np.arange(len(size)), size), W.ranges(np.zeros(len(size)), size)
+                document = np.repeat(np.arange(len(n)), n)[of]
+                start = np.array(item.field("start")).astype(np.int64)[of] + t
+                at, phrase = words.first[document] + start, pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        item.field("seed").take(phrase),
+                        item.field("print").take(phrase),
+                        pa.array(t.astype(np.int16)),
+                        pa.array(own[at].view(np.int64)),
+                        pa.array(own_print[at].view(np.int64)),
+                        part.column("doc_id").take(pa.array(document)),
+                        pa.array(start.astype(np.int32)),
+                        item.field("again").take(phrase),
+                    ],
+                    ["seed", "print", "first", "own", "own_print", "doc_id", "start", "again"],
+                )
+
+    return _with_wanted(documents, once).mapInArrow(W.trimmed(run), _WINDOWS)
+
+
+def runs_of_windows(windows: DataFrame, runs: DataFrame) -> DataFrame:
+    """Runs in the phrases that were taken apart, from those of their windows."""
+    own = runs.select(F.col("seed").alias("own"), F.col("print").alias("own_print"), "source_doc_id", "source_start")
+    found = windows.select("seed", "print", "first", "own", "own_print").join(own, ["own", "own_print"])
+    found = found.withColumn("shift", F.col("source_start") - F.col("first"))
+    line = Window.partitionBy("seed", "print", "source_doc_id", "shift").orderBy("first")
+    return (
+        found.withColumn("island", F.col("first") - F.row_number().over(line))
+        .groupBy("seed", "print", "source_doc_id", "shift", "island")
+        .agg(F.min("first").alias("first"), F.count(F.lit(1)).cast("smallint").alias("windows"))
+        .selectExpr("seed", "print", "first", "windows", "source_doc_id", "shift + first AS source_start")
+    )
 
 
 @dataclass
@@ -202,6 +278,11 @@ class Windows:
         first[order] = np.repeat(order[head], size)
         return twice, first
 
+    def confirmed(self, *keys: np.ndarray) -> np.ndarray:
+        """Windows with equal keys are equal: of each that occurs at two places, the first one."""
+        twice, first = self.firsts(*keys)
+        return np.unique(first[twice])
+
     def runs(self, table: pa.Table, twice: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
         """Recurring windows in a row whose first places are in a row too, as one."""
         at = np.flatnonzero(twice)
@@ -224,20 +305,39 @@ class Windows:
         )
 
 
-def recurring(documents: DataFrame, window: int, k: int, shard: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+def recurring(
+    documents: DataFrame, window: int, k: int, shard: Callable[[pa.Table], pa.RecordBatch], crowd: int = SEED_PHRASES
+) -> DataFrame:
     """All runs of windows that occur earlier too (smaller doc_id, or same document and earlier start): doc_id,
     start, windows, and the first place source_doc_id, source_start.
 
-    ``documents``: doc_id, text, one row per id. ``shard`` finds the runs among the phrases of some seeds."""
+    ``documents``: doc_id, text, one row per id. ``shard`` finds the runs among the phrases of some seeds. The
+    phrases of a seed with more than ``crowd`` different ones reach it window by window, each a seed of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in W.by_key(batches, "seed", SHARD_PHRASES):
             yield shard(table)
 
     documents = documents.select("doc_id", "text")
-    found = candidates(documents, window, k)
-    texts = phrase_texts(documents, distinct_phrases(found), window)
+    found, crowded = candidates(documents, window, k, crowd)
+    # Without a crowded seed there is nothing to take apart, and the result is the same.
+    windows = None
+    if crowded.isEmpty():
+        once = distinct_phrases(found)
+    else:
+        apart = distinct_phrases(found.join(crowded, "seed", "left_semi"))
+        windows = stored(single_windows(documents, apart, window), "windows")
+        each = windows.selectExpr(
+            "own AS seed", "own_print AS print", "1S AS windows", "0S AS ahead", "doc_id", "start", "again"
+        )
+        together = distinct_phrases(found.join(crowded, "seed", "left_anti"))
+        once = together.unionByName(distinct_phrases(each).filter("again"))
+    texts = phrase_texts(documents, once, window)
     runs = texts.repartition("seed").sortWithinPartitions("seed").mapInArrow(W.trimmed(run), _RUNS)
+    if windows is not None:
+        runs = stored(runs, "runs")
+        # The runs of single windows have no phrase among those found, so the join below leaves them out.
+        runs = runs.unionByName(runs_of_windows(windows, runs))
     places = found.select("seed", "print", "doc_id", "start").join(
         runs.withColumnRenamed("windows", "length"), ["seed", "print"]
     )

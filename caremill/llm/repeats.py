@@ -1,17 +1,19 @@
 """Substring dedup by repeated-phrase automata.
 
-Recurring passages are confirmed among the phrases that share a seed (``passages``), shard by shard. Each
-shard's passages are compiled into one Aho-Corasick automaton over words, and all phrases of the
-documents that could hold one of them are streamed through it, which gives every occurrence. Shards have
-a bounded number of phrases and are made where the phrases are, so neither automata nor documents are sent
-to every task.
-
-Cases: null, empty and short texts have no window, so nothing is removed; rows without doc_id are no documents;
-of rows that repeat an id the one with the smallest text counts; other columns are not looked at.
+Documents are cut into phrases; those whose seed occurs once hold nothing that recurs (``passages``). The others meet
+in shards. There the passages of ``window`` words that occur at two places are confirmed, each with its first place. They
+are compiled into Aho-Corasick automata over words, of a bounded number of passages, and every phrase of the
+shard is streamed through each. The automata's hits are the occurrences: they alone say which words of which phrase
+repeat which place. Shards are made where the phrases are, so neither automata nor documents are sent to every task.
+
+Cases: null, empty and short texts have no window, so nothing is removed; texts of any length are taken whole; rows
+without doc_id are no documents; of rows that repeat an id the one with the smallest text counts; of equal windows the
+one of the smallest doc_id, then the earliest, stays; other columns are not looked at; an empty table gives none.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,68 +24,65 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from caremill.llm import words as W
-from caremill.llm.passages import Windows, one_row_per_id, recurring
+from caremill.llm.passages import SEED_PHRASES, Windows, one_row_per_id, recurring
 from caremill.llm.storage import configure
 
 WINDOW = 20
 SEED_WORDS = 4
+#: Passages that one automaton holds; it has a node for each of their words at most.
+AUTOMATON_PASSAGES = 50_000
 # A name that no column of the documents has.
 _REMOVED = "_removed_windows_of_document"
 
 
-def locate(passages: set[tuple[int, ...]], texts: list[tuple[int, ...]], window: int) -> list[int]:
-    """For each text, the windows that lie in an occurrence of a passage, as a bit set."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for passage in passages:
-        automaton.add_word(passage)
+def locate(passages: list[tuple[int, ...]], texts: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All occurrences of the passages: number of the text, place of the last word, number of the passage."""
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for number, passage in enumerate(passages):
+        automaton.add_word(passage, number)
     automaton.make_automaton()
-    out = []
-    for text in texts:
-        bits = 0
-        for end, length in automaton.iter(text):
-            bits |= ((1 << (length - window + 1)) - 1) << (end - length + 1)
-        out.append(bits)
-    return out
+    of, last, which = array("q"), array("q"), array("q")
+    for number, text in enumerate(texts):
+        for end, passage in automaton.iter(text):
+            of.append(number)
+            last.append(end)
+            which.append(passage)
+    return tuple(np.frombuffer(hits, np.int64) if hits else np.zeros(0, np.int64) for hits in (of, last, which))
 
 
-def automaton_shard(window: int):
-    """Runs of windows that recur, found by the automaton of a shard's passages."""
+def automaton_shard(window: int, most: int = AUTOMATON_PASSAGES):
+    """Runs of windows that recur, found by the automata of a shard's passages."""
 
     def shard(table: pa.Table) -> pa.RecordBatch:
         w = Windows.of_table(table, window)
-        twice, first = w.firsts(
-            W.grams(w.h, window)[w.at], W.grams(W.mix(w.h), window)[w.at]
-        )
+        passages = w.confirmed(W.grams(w.h, window)[w.at], W.grams(W.mix(w.h), window)[w.at])
         symbols = np.unique(w.h, return_inverse=True)[1].tolist()
         bounds = w.words.first.tolist()
-        # Confirmed passages: recurring windows in a row within a phrase.
-        at = np.flatnonzero(twice)
-        new = np.ones(len(at), bool)
-        new[1:] = (np.diff(at) != 1) | (w.of[at][1:] != w.of[at][:-1])
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(at))[: len(head)] - 1
-        passages = {
-            tuple(symbols[lo:hi]) for lo, hi in zip(w.at[at[head]].tolist(), (w.at[at[tail]] + window).tolist())
-        }
-        if not passages:
-            return w.runs(table, np.zeros(len(twice), bool), first)
         texts = [tuple(symbols[lo:hi]) for lo, hi in zip(bounds, bounds[1:])]
-        found = np.array(locate(passages, texts, window), np.int64)
-        return w.runs(table, (found[w.of] >> w.t) & 1 == 1, first)
+        before = np.concatenate([[0], np.cumsum(w.words.counts - window + 1)])
+        located, source = np.zeros(len(w.of), bool), np.zeros(len(w.of), np.int64)
+        for lo in range(0, len(passages), most):
+            some = passages[lo : lo + most]
+            of, last, which = locate([tuple(symbols[at : at + window]) for at in w.at[some].tolist()], texts)
+            hit = before[of] + last - (window - 1)
+            located[hit], source[hit] = True, some[which]
+        return w.runs(table, located, source)
 
     return shard
 
 
-def repeats(documents: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
+def repeats(
+    documents: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS, crowd: int = SEED_PHRASES
+) -> DataFrame:
     """Runs of windows of ``window`` words that occur earlier too: doc_id, start, windows, source_doc_id, source_start."""
-    return recurring(documents, window, seed_words, automaton_shard(window))
+    return recurring(documents, window, seed_words, automaton_shard(window), crowd)
 
 
-def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+def without_repeats(documents: DataFrame, window: int = WINDOW, crowd: int = SEED_PHRASES) -> DataFrame:
     """Each document as the struct ``row``, with kept_text (the words that are kept, with one space between them), n_words
     and n_removed. All words that a repeated window covers are removed; nothing is at first places."""
     documents = one_row_per_id(documents)
-    removed = repeats(documents, window).groupBy("doc_id").agg(
+    removed = repeats(documents, window, crowd=crowd).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "windows")).alias("removed")
     )
 

@@ -6,7 +6,10 @@ that share their first words meet in a task, are sorted by their words, and neig
 how many words they share to the right gives the runs of equal suffixes for each length, and within
 a run the words to the left are compared. Matches are then extended over the windows that follow.
 
-Cases: null, empty and short texts have no match; rows without doc_id are no documents; of rows that repeat
+Where more suffixes share their first words than a task should hold, the windows of ``least`` words around them are
+told apart first, and each that recurs is a suffix of its own.
+
+Cases: null, empty and short texts have no match; texts of any length are taken whole; rows without doc_id are no documents; of rows that repeat
 an id the one with the smallest text counts; other columns are not looked at.
 """
 
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caremill.llm import words as W
-from caremill.llm.passages import Windows, one_row_per_id, recurring
+from caremill.llm.passages import SEED_PHRASES, Windows, one_row_per_id, recurring
 from caremill.llm.storage import configure
 
 #: Shortest match, in words, and words of a minimiser.
@@ -64,11 +67,13 @@ def suffix_shard(least: int):
     return shard
 
 
-def matches(documents: DataFrame, least: int = LEAST, seed_words: int = SEED_WORDS) -> DataFrame:
+def matches(
+    documents: DataFrame, least: int = LEAST, seed_words: int = SEED_WORDS, crowd: int = SEED_PHRASES
+) -> DataFrame:
     """Maximal matches of at least ``least`` words with the place where the words are first: doc_id, start, n_words,
     source_doc_id, source_start. Every repeated passage of that length is in a match, unless it is at its first place,
     which is the source of the others."""
-    runs = recurring(one_row_per_id(documents), least, seed_words, suffix_shard(least))
+    runs = recurring(one_row_per_id(documents), least, seed_words, suffix_shard(least), crowd)
     per_document = runs.groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "windows", "source_doc_id", "source_start")).alias("runs")
     )

@@ -9,7 +9,7 @@ import pytest
 from pyarrow import fs
 from tokenizers import Tokenizer
 
-from caremill.llm import idfiles, storage, tokens, toxicity, vectors
+from caremill.llm import idfiles, passages, repeats, storage, tokens, toxicity, vectors, words
 
 
 def test_cells_are_visited_in_rising_order_up_to_the_radius():
@@ -140,3 +140,38 @@ def test_common_words_do_not_push_out_rare_toxic_ones(spark):
     classifier = toxicity.fit(df, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
     found = toxicity.scored(df, classifier).selectExpr("row.doc_id", "score").collect()
     assert all((r.score >= toxicity.THRESHOLD) == (r.doc_id % 6 == 0) for r in found)
+
+
+def _phrases_table(texts):
+    n = len(texts)
+    columns = {"seed": [0] * n, "print": list(range(n)), "doc_id": list(range(n)), "start": [0] * n, "again": [False] * n}
+    return pa.table(columns | {"ahead": [0] * n, "phrase": texts})
+
+
+def test_automata_decide_what_repeats(monkeypatch):
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 500, 60)]
+    table = _phrases_table([" ".join(base[i : i + 30]) for i in (0, 0, 3, 9, 30)])
+    found = [repeats.automaton_shard(20, most)(table) for most in (1, 4, 1000)]
+    runs = [tuple(r.values()) for r in found[0].select(["print", "first", "windows", "source_doc_id", "source_start"]).to_pylist()]
+    # Text 2 repeats text 0 from its fourth word on, and so does text 3 as far as text 0 goes; its rest is in text 2.
+    assert runs == [(0, 0, 11, 0, 0), (1, 0, 11, 0, 0), (2, 0, 8, 0, 3), (2, 8, 3, 2, 8), (3, 0, 2, 0, 9), (3, 2, 3, 2, 8)]
+    assert found[0].equals(found[1]) and found[0].equals(found[2])
+    none = np.zeros(0, np.int64)
+    monkeypatch.setattr(repeats, "locate", lambda passages, texts: (none, none, none))
+    assert repeats.automaton_shard(20)(table).num_rows == 0
+
+
+def test_long_texts_are_cut_into_the_same_phrases():
+    rng = np.random.default_rng(9)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 50, 1500))
+    w = words.split_words(pa.array([text, None, "a b", text[:3000]]), words.NOT_SPACE)
+    whole, parts = passages.phrases(w, 20, 4), passages.phrases(w, 20, 4, step=100)
+
+    def windows(found):
+        of = np.repeat(np.arange(len(found.lo)), found.windows)
+        at = words.ranges(found.lo, found.windows)
+        return sorted(zip(at.tolist(), found.at[of].tolist(), found.seed[of].tolist()))
+
+    assert windows(whole) == windows(parts) and len(whole.lo) < len(parts.lo)
+    assert len(passages.phrases(words.split_words(pa.array([], pa.string()), words.NOT_SPACE), 20, 4).lo) == 0

@@ -103,6 +103,26 @@ def test_substring_dedup(documents, doubled, empty):
     assert repeats.without_repeats(empty).count() == 0
 
 
+def test_crowded_seeds_are_taken_apart(documents, spark):
+    # Almost every seed is crowded; a column's name clashes with one used inside.
+    removed = repeats.without_repeats(documents, crowd=1).select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    assert _rows(removed) == sorted(brute.repeated(PLAIN))
+    # A line of a few words between words of their own, and a passage that begins with it.
+    rng = random.Random(7)
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(40)]
+    rows = []
+    for i, words_of in enumerate(own):
+        middle = "this line is on every page" if i % 3 else f"this line is on every page {PASSAGE}"
+        rows.append((i, " ".join([*words_of[:30], middle, *words_of[30:]])))
+    rows += [(100 + i, text) for i, text in rows[:10]]
+    df = spark.createDataFrame([(*r, "x") for r in rows for _ in range(2)], "doc_id bigint, text string, _rank string")
+    for crowd in (3, 1000):
+        found = repeats.without_repeats(df, crowd=crowd).select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+        assert _rows(found) == sorted(brute.repeated(rows))
+    whole = [{(r.doc_id, r.start, r.n_words) for r in suffixes.matches(df, crowd=c).collect()} for c in (1, 3, 1000)]
+    assert whole[0] == whole[1] == whole[2] and len(whole[0]) > 10
+
+
 def test_sparse_suffixes_find_every_repeat(documents, doubled, empty):
     expected = brute.repeated_words(PLAIN, 50)
     for df in (documents, doubled):
