@@ -118,12 +118,11 @@ def candidates(documents: DataFrame, window: int, k: int, crowd: int = SEED_PHRA
 
     fields = "seed bigint, print bigint, doc_id bigint, start int, windows smallint, ahead smallint"
     rows = documents.select("doc_id", "text").mapInArrow(W.trimmed(run), fields)
-    counted = stored(rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "seeds")
-    found = stored(rows.join(counted.select("seed"), "seed", "left_semi"), "phrases")
-    often = found.join(counted.filter(F.col("n") > crowd).select("seed"), "seed", "left_semi")
-    different = often.groupBy("seed").agg(F.count_distinct("print").alias("n"))
-    crowded = stored(different.filter(F.col("n") > crowd).select("seed"), "crowded")
+    counted = stored(rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "seeds")
+    found = stored(rows.join(counted, "seed", "left_semi"), "phrases")
     dropped(counted)
+    different = found.select("seed", "print").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    crowded = stored(different.filter(F.col("n") > crowd).select("seed"), "crowded")
     return found, crowded
 
 
@@ -278,10 +277,33 @@ class Windows:
         first[order] = np.repeat(order[head], size)
         return twice, first
 
-    def confirmed(self, *keys: np.ndarray) -> np.ndarray:
-        """Windows with equal keys are equal: of each that occurs at two places, the first one."""
+    def passages(self, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows with equal keys are equal. Those that occur at two places, as passages: windows in a row that only occur
+        together, in this order. For each passage, its first window where it is first, and the number of its windows."""
         twice, first = self.firsts(*keys)
-        return np.unique(first[twice])
+        n = len(first)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        inside = self.of[1:] == self.of[:-1]
+        behind, ahead = np.full(n, -1), np.full(n, -1)
+        behind[:-1][inside] = first[1:][inside]
+        ahead[1:][inside] = first[:-1][inside]
+        order = np.argsort(first, kind="stable")
+        head = np.flatnonzero(np.diff(first[order], prepend=-1))
+        kind = first[order][head]
+
+        def only(neighbour: np.ndarray) -> np.ndarray:
+            """The neighbour that all windows equal to this one have, by the window's first place, or -1."""
+            low, high = (f.reduceat(neighbour[order], head) for f in (np.minimum, np.maximum))
+            out = np.full(n, -1)
+            out[kind] = np.where(low == high, low, -1)
+            return out
+
+        behind, ahead = only(behind), only(ahead)
+        own = np.unique(first[twice])
+        goes_on = (own > 0) & (ahead[own] == own - 1) & (behind[own - 1] == own)
+        start = np.flatnonzero(~goes_on)
+        return own[start], np.diff(np.append(start, len(own)))
 
     def runs(self, table: pa.Table, twice: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
         """Recurring windows in a row whose first places are in a row too, as one."""

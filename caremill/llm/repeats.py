@@ -1,8 +1,8 @@
 """Substring dedup by repeated-phrase automata.
 
 Documents are cut into phrases; those whose seed occurs once hold nothing that recurs (``passages``). The others meet
-in shards. There the passages of ``window`` words that occur at two places are confirmed, each with its first place. They
-are compiled into Aho-Corasick automata over words, of a bounded number of passages, and every phrase of the
+in shards. There the passages of ``window`` words or more that occur at two places are confirmed, each with its first
+place; words that only occur together are one passage. They are compiled into Aho-Corasick automata over words, of a bounded number of passages, and every phrase of the
 shard is streamed through each. The automata's hits are the occurrences: they alone say which words of which phrase
 repeat which place. Shards are made where the phrases are, so neither automata nor documents are sent to every task.
 
@@ -55,17 +55,19 @@ def automaton_shard(window: int, most: int = AUTOMATON_PASSAGES):
 
     def shard(table: pa.Table) -> pa.RecordBatch:
         w = Windows.of_table(table, window)
-        passages = w.confirmed(W.grams(w.h, window)[w.at], W.grams(W.mix(w.h), window)[w.at])
+        passage, windows = w.passages(W.grams(w.h, window)[w.at], W.grams(W.mix(w.h), window)[w.at])
+        begin, end = w.at[passage].tolist(), (w.at[passage] + windows + window - 1).tolist()
         symbols = np.unique(w.h, return_inverse=True)[1].tolist()
         bounds = w.words.first.tolist()
         texts = [tuple(symbols[lo:hi]) for lo, hi in zip(bounds, bounds[1:])]
         before = np.concatenate([[0], np.cumsum(w.words.counts - window + 1)])
         located, source = np.zeros(len(w.of), bool), np.zeros(len(w.of), np.int64)
-        for lo in range(0, len(passages), most):
-            some = passages[lo : lo + most]
-            of, last, which = locate([tuple(symbols[at : at + window]) for at in w.at[some].tolist()], texts)
-            hit = before[of] + last - (window - 1)
-            located[hit], source[hit] = True, some[which]
+        for lo in range(0, len(passage), most):
+            some = [tuple(symbols[a:b]) for a, b in zip(begin[lo : lo + most], end[lo : lo + most])]
+            of, last, which = locate(some, texts)
+            size = windows[lo : lo + most][which]
+            hit = W.ranges(before[of] + last - (window - 1) - (size - 1), size)
+            located[hit], source[hit] = True, W.ranges(passage[lo : lo + most][which], size)
         return w.runs(table, located, source)
 
     return shard
