@@ -11,6 +11,7 @@ from caremill.operators.versions import latest_per_key, rows_after
 from caremill.plans import bi
 from caremill.plans.catalogue import QUERIES
 from caremill.plans.models import Models
+from caremill.session import configure
 from caremill.sources.bindings import GIVEN, RawTables
 from compare import plan_of
 
@@ -72,6 +73,30 @@ def test_folding_shuffles_rows_once(spark, folder):
     assert after == before
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins are planned as for tables too big to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_visits_are_dealt_out_by_patient_once_and_narrow(spark, folder, no_broadcast):
+    configure(spark)
+    plan = plan_of(Models(RawTables(spark, folder)).clinical_encounters)
+    assert not re.search(r"hashpartitioning\([^)]*(_row_slice|_period_slice)", plan)
+    behind = plan[plan.index("Exchange hashpartitioning(patient_id") :]
+    assert "AS duration_minutes" in plan and "AS duration_minutes" not in behind
+
+
+def test_appointments_are_dealt_out_by_patient_while_narrow(spark, folder, no_broadcast):
+    configure(spark)
+    plan = plan_of(Models(RawTables(spark, folder)).fct_appointments)
+    behind = plan[plan.index("Exchange hashpartitioning(patient_id") :]
+    assert "AS is_completed" in plan and "AS is_completed" not in behind
+
+
 def test_distinct_patients_are_reduced_per_cell_first(spark, folder):
     plan = plan_of(QUERIES["check_k_anonymity"](spark, folder))
     assert "partial_count(distinct" in plan
