@@ -131,6 +131,7 @@ _PLACE_SQL = "CAST(CAST(doc_id AS DECIMAL(20, 0)) * 4294967296 + start AS DECIMA
 _START_SQL = "pmod(low, 4294967296)"
 
 _TEXT = "seed bigint, print bigint, doc_id bigint, start int, again boolean, ahead smallint, phrase string"
+_CUT = _TEXT + ", apart boolean"
 _WINDOWS = "seed bigint, print bigint, first smallint, own bigint, own_print bigint, doc_id bigint, start int, again boolean"
 _RUNS = "seed bigint, print bigint, first smallint, windows smallint, source_doc_id bigint, source_start int"
 
@@ -155,15 +156,8 @@ def distinct_phrases(found: DataFrame) -> DataFrame:
     )
 
 
-def _with_wanted(documents: DataFrame, once: DataFrame) -> DataFrame:
-    wanted = once.groupBy("doc_id").agg(
-        F.collect_list(F.struct("seed", "print", "start", "again", "ahead", "windows")).alias("wanted")
-    )
-    return documents.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted")
-
-
 def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFrame:
-    """The words of each distinct phrase, cut out of the document where it is first."""
+    """The words of each distinct phrase, cut out of the document where it is first; ``apart`` goes along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,45 +178,76 @@ def phrase_texts(documents: DataFrame, once: DataFrame, window: int) -> DataFram
                         item.field("again"),
                         item.field("ahead"),
                         joined.cast(pa.string()),
+                        item.field("apart"),
                     ],
-                    ["seed", "print", "doc_id", "start", "again", "ahead", "phrase"],
+                    ["seed", "print", "doc_id", "start", "again", "ahead", "phrase", "apart"],
                 )
 
-    return _with_wanted(documents, once).mapInArrow(W.trimmed(run), _TEXT)
+    wanted = once.groupBy("doc_id").agg(
+        F.collect_list(F.struct("seed", "print", "start", "again", "ahead", "windows", "apart")).alias("wanted")
+    )
+    joined = documents.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "wanted")
+    return joined.mapInArrow(W.trimmed(run), _CUT)
 
 
-def single_windows(documents: DataFrame, once: DataFrame, window: int) -> DataFrame:
+def single_windows(texts: DataFrame, window: int) -> DataFrame:
     """The windows of each distinct phrase: seed and print of the phrase, first (its number there), own and own_print
     (two hashes of its words), doc_id and start (its place where the phrase is first), again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, text in W.blocks(batch, batch.column("text")):
+            for part, _ in W.blocks(batch, batch.column("phrase")):
+                w = Windows.of_table(pa.Table.from_batches([part]), window)
+                own, own_print = W.grams(w.h, window), W.grams(W.mix(w.h), window)
+                phrase = pa.array(w.of)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("seed").take(phrase),
+                        part.column("print").take(phrase),
+                        pa.array(w.t.astype(np.int16)),
+                        pa.array(own[w.at].view(np.int64)),
+                        pa.array(own_print[w.at].view(np.int64)),
+                        pa.array(w.doc_id),
+                        pa.array(w.start.astype(np.int32)),
+                        pa.array(w.again),
+                    ],
+                    ["seed", "print", "first", "own", "own_print", "doc_id", "start", "again"],
+                )
+
+    return texts.mapInArrow(W.trimmed(run), _WINDOWS)
+
+
+def window_texts(texts: DataFrame, windows: DataFrame, again: DataFrame, window: int) -> DataFrame:
+    """The words of each distinct window that recurs (``again``), as a phrase of its own, cut out of the phrase that has
+    it where it is first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, text in W.blocks(batch, batch.column("phrase")):
                 words = W.split_words(text, W.NOT_SPACE)
-                h = words.hashes()
-                own, own_print = W.grams(h, window), W.grams(W.mix(h), window)
                 lists = part.column("wanted")
                 item, n = lists.flatten(), np.array(lists.value_lengths())
-                size = np.array(item.field("windows")).astype(np.int64)
-                of, t = np.repeat(np.arange(len(size)), size), W.ranges(np.zeros(len(size)), size)
-                document = np.repeat(np.arange(len(n)), n)[of]
-                start = np.array(item.field("start")).astype(np.int64)[of] + t
-                at, phrase = words.first[document] + start, pa.array(of)
+                lo = words.first[np.repeat(np.arange(len(n)), n)] + np.array(item.field("first"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        item.field("seed").take(phrase),
-                        item.field("print").take(phrase),
-                        pa.array(t.astype(np.int16)),
-                        pa.array(own[at].view(np.int64)),
-                        pa.array(own_print[at].view(np.int64)),
-                        part.column("doc_id").take(pa.array(document)),
-                        pa.array(start.astype(np.int32)),
-                        item.field("again").take(phrase),
+                        item.field("own"),
+                        item.field("own_print"),
+                        item.field("doc_id"),
+                        item.field("start"),
+                        pa.array(np.ones(len(lo), bool)),
+                        pa.array(np.zeros(len(lo), np.int16)),
+                        words.join(lo, lo + window).cast(pa.string()),
                     ],
-                    ["seed", "print", "first", "own", "own_print", "doc_id", "start", "again"],
+                    ["seed", "print", "doc_id", "start", "again", "ahead", "phrase"],
                 )
 
-    return _with_wanted(documents, once).mapInArrow(W.trimmed(run), _WINDOWS)
+    # Of a document, a window belongs to one phrase, so its place names the row.
+    own = again.select(F.col("seed").alias("own"), F.col("print").alias("own_print"), "doc_id", "start")
+    found = windows.drop("again").join(own, ["own", "own_print", "doc_id", "start"], "left_semi")
+    wanted = found.groupBy("seed", "print").agg(
+        F.collect_list(F.struct("own", "own_print", "doc_id", "start", "first")).alias("wanted")
+    )
+    return texts.select("seed", "print", "phrase").join(wanted, ["seed", "print"]).mapInArrow(W.trimmed(run), _TEXT)
 
 
 def runs_of_windows(windows: DataFrame, runs: DataFrame) -> DataFrame:
@@ -342,22 +367,26 @@ def recurring(
 
     documents = documents.select("doc_id", "text")
     found, crowded = candidates(documents, window, k, crowd)
+    once = distinct_phrases(found)
     # Without a crowded seed there is nothing to take apart, and the result is the same.
-    windows = None
+    cut = windows = None
     if crowded.isEmpty():
-        once = distinct_phrases(found)
+        texts = phrase_texts(documents, once.withColumn("apart", F.lit(False)), window).drop("apart")
     else:
-        apart = distinct_phrases(found.join(crowded, "seed", "left_semi"))
-        windows = stored(single_windows(documents, apart, window), "windows")
+        marked = once.join(crowded.withColumn("apart", F.lit(True)), "seed", "left").fillna(False, ["apart"])
+        # All phrases are cut out at once: the documents are shuffled a single time, and windows come from the phrases.
+        cut = stored(phrase_texts(documents, marked, window), "cut", "zstd")
+        apart = cut.filter("apart").drop("apart")
+        windows = stored(single_windows(apart, window), "windows")
         each = windows.selectExpr(
             "own AS seed", "own_print AS print", "1S AS windows", "0S AS ahead", "doc_id", "start", "again"
         )
-        together = distinct_phrases(found.join(crowded, "seed", "left_anti"))
-        once = together.unionByName(distinct_phrases(each).filter("again"))
-    texts = phrase_texts(documents, once, window)
+        recur = window_texts(apart, windows, distinct_phrases(each).filter("again"), window)
+        texts = cut.filter("NOT apart").drop("apart").unionByName(recur)
     runs = texts.repartition("seed").sortWithinPartitions("seed").mapInArrow(W.trimmed(run), _RUNS)
     if windows is not None:
         runs = stored(runs, "runs")
+        dropped(cut)
         # The runs of single windows have no phrase among those found, so the join below leaves them out.
         runs = runs.unionByName(runs_of_windows(windows, runs))
     places = found.select("seed", "print", "doc_id", "start").join(

@@ -162,6 +162,29 @@ def test_automata_decide_what_repeats(monkeypatch):
     assert repeats.automaton_shard(20)(table).num_rows == 0
 
 
+def test_crowded_seeds_are_taken_apart_without_a_second_pass_over_the_texts(spark):
+    line = " ".join(f"common{i}" for i in range(12))
+    rows = [(i, " ".join([*(f"a{i}_{j}" for j in range(60)), line, *(f"b{i // 2}_{j}" for j in range(60))])) for i in range(40)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = spark.sparkContext.accumulator(0)
+    documents = texts.select("doc_id", "text").mapInArrow(
+        lambda batches: (seen.add(b.num_rows) or b for b in batches), texts.schema
+    )
+
+    def run(crowd):
+        seen.value = 0
+        window = repeats.WINDOW
+        shard = repeats.automaton_shard(window)
+        found = passages.recurring(documents, window, repeats.SEED_WORDS, shard, crowd).collect()
+        return sorted((r.doc_id, r.start + i) for r in found for i in range(r.windows)), seen.value
+
+    whole, passes = run(1000)
+    apart, passes_apart = run(1)
+    assert whole == apart and len(whole) > 1000
+    # To count the seeds, to keep the phrases, and to cut them out: crowded seeds need no further pass.
+    assert passes_apart == passes == 3 * len(rows)
+
+
 def test_long_texts_are_cut_into_the_same_phrases():
     rng = np.random.default_rng(9)
     text = " ".join(f"w{i}" for i in rng.integers(0, 50, 1500))
