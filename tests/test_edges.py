@@ -503,3 +503,17 @@ def test_busiest_timelines(spark):
         "subscription_id string, version int, plan_id string, mrr_amount int, valid_from date, valid_to date, is_current boolean",
     )
     assert [(r.subscription_id, r.version) for r in bi.busiest_timelines(df, 2).collect()] == [("b", 1), ("b", 2), ("b", 3), ("c", 1), ("c", 2)]
+
+
+def test_keys_are_only_shuffled_whole_where_one_may_repeat(spark):
+    unique, pair = quality.Check("unique", ("k",)), quality.Check("unique_combination", ("k", "v"))
+    alone = spark.createDataFrame([("a", 1), ("b", 1), (None, 1), (None, 2)], "k string, v int")
+    twice = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 1), (None, 1), (None, 1)], "k string, v int")
+    found = quality.run_checks({"alone": (unique, pair), "twice": (unique, pair)}, {"alone": alone, "twice": twice})
+    assert {(r.table_name, r.check_name): r.failures for r in found.collect()} == {
+        ("alone", "unique(k)"): 0, ("alone", "unique_combination(k, v)"): 0,
+        ("twice", "unique(k)"): 2, ("twice", "unique_combination(k, v)"): 2,
+    }
+    clean = quality.run_checks({"alone": (unique, pair)}, {"alone": alone})
+    assert "hashpartitioning(k" not in clean._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in found._jdf.queryExecution().executedPlan().toString()
