@@ -13,9 +13,11 @@ died is run again as if it had not begun, and no data file is opened to find whe
 from __future__ import annotations
 
 import json
+from collections import Counter
+from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -25,10 +27,10 @@ from caremill.operators.versions import (
     EPOCH,
     cursor_of,
     latest_per_key,
-    merge_by_key,
     rows_after,
     same_keys,
 )
+from caremill.session import released, setting
 
 # The last column is the stored cursor: how far the source has been read.
 LOG = "version long, base long, last_value timestamp_ntz"
@@ -280,9 +282,9 @@ def in_force(spark: SparkSession, root: str) -> dict[int, list[str]]:
     return by_run
 
 
-def read_partitioned(spark: SparkSession, root: str, parts: list[str] | None = None) -> DataFrame | None:
-    """The table as of its last finished run, or only some partition folders of it. Folders that a later run has
-    replaced, or that a failed run left, are pruned by name."""
+def _in_place(spark: SparkSession, root: str, parts: list[str] | None = None) -> tuple[DataFrame, list[str]] | None:
+    """The rows in force with the folder names they lie in, or only some partition folders of them, and the names of their own
+    columns. Folders that a later run has replaced, or that a failed run left, are pruned by name."""
     log = _partition_log(spark, root)
     if log is None:
         return None
@@ -292,49 +294,188 @@ def read_partitioned(spark: SparkSession, root: str, parts: list[str] | None = N
     for run, written in in_force(spark, root).items():
         wanted = written if parts is None else sorted(set(written) & set(parts))
         here = here | ((F.col("_run") == run) & F.col("_part").isin(wanted))
-    return spark.read.schema(folders).parquet(f"{root}/data").filter(here).select(*schema.names)
+    return spark.read.schema(folders).parquet(f"{root}/data").filter(here), schema.names
+
+
+def read_partitioned(spark: SparkSession, root: str, parts: list[str] | None = None) -> DataFrame | None:
+    """The table as of its last finished run, or only some partition folders of it."""
+    found = _in_place(spark, root, parts)
+    return found and found[0].select(*found[1])
+
+
+def _write_parts(
+    rows: DataFrame,
+    folder: str,
+    keys: list[str],
+    partition: str,
+    derived: Mapping[str, Column] | None,
+    mode: str = "overwrite",
+) -> None:
+    """Write rows to a folder for each partition value, in order of their keys. Rows are dealt out by partition, as one file for
+    each task and folder would be too many; adaptive execution splits the folders that are big. ``derived`` columns are computed
+    behind that."""
+    behind = {name: column for name, column in (derived or {}).items() if name in rows.columns and name != partition}
+    dealt = rows.drop(*behind).hint("rebalance", F.col(partition)).withColumns(behind)
+    placed = dealt.select(*rows.columns, _place(partition).alias("_part"))
+    _write_placed(placed.sortWithinPartitions("_part", *keys), folder, mode)
+
+
+def _write_placed(rows: DataFrame, folder: str, mode: str) -> None:
+    # Whatever the session says: a repeated run replaces all that a died one left.
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("_part")
+    writer.option("compression", "zstd").option("parquet.writer.version", "v2").parquet(folder)
 
 
 def refresh_partitions(
-    source: DataFrame, root: str, keys: list[str], cursor: str, partition: str, lookback_days: int = 0
+    source: DataFrame,
+    root: str,
+    keys: list[str],
+    cursor: str,
+    partition: str,
+    lookback_days: int = 0,
+    derived: Mapping[str, Column] | None = None,
 ) -> int:
     """Bring a partitioned table up to date by writing anew only the partitions that change: those of changed rows,
     and those where rows with the same key were before. The first run stores the source as it is; a run without changes writes no
-    partition. Steps: the changed rows, the partitions they touch, the new content of these in a folder of its own, and a
-    log line that puts it in force. Until that line is there readers see the table as it was. Returns the newest version."""
+    partition. A run writes its changed rows, finds the stored rows that they replace, and writes the other rows of the
+    partitions touched, in a folder of its own; a log line puts these in force. Until that line is there readers see the table as it was.
+    ``derived`` columns follow from the other columns of a row: they are not shuffled. Returns the newest version."""
     spark = source.sparkSession
     log = _partition_log(spark, root)
     state = None if log is None else log.agg(F.max(F.struct("version", "last_value")).alias("line")).select("line.*").first()
     run = state.version + 1 if state else 1
-    if state:
-        folder = f"{root}/delta/_run={run}"
-        changed = rows_after(source, cursor, _literal(state.last_value), lookback_days)
-        latest_per_key(changed, keys, cursor).write.mode("overwrite").parquet(folder)
-        delta = spark.read.schema(source.schema).parquet(folder)
-        if delta.isEmpty():
-            return state.version
-        target = read_partitioned(spark, root).select(*source.columns)
-        moved = same_keys(target.select(*dict.fromkeys([*keys, partition])), delta.select(*keys).distinct(), keys, "left_semi")
-        places = delta.select(_place(partition)).union(moved.select(_place(partition))).distinct()
-        # Distinct partition values: as many as there are folders.
-        touched = sorted(row[0] for row in places.collect())
-        merged = merge_by_key(read_partitioned(spark, root, touched).select(*source.columns), delta, keys, cursor)
-    else:
-        merged = source
-    # Not one file for each task and folder; adaptive execution splits the folders that are big.
     folder = f"{root}/data/_run={run}"
-    placed = merged.withColumn("_part", _place(partition)).hint("rebalance", F.col("_part"))
-    placed.write.mode("overwrite").partitionBy("_part").parquet(folder)
-    if not state:
-        delta = spark.read.schema(placed.schema).parquet(folder)
-        touched = sorted(row[0] for row in delta.select("_part").distinct().collect())
-    reached = cursor_of(delta, cursor).first()[0]
+    schema = StructType([*source.schema.fields, StructField("_part", StringType())])
+    with released(spark):
+        changed = rows_after(source, cursor, _literal(state.last_value), lookback_days) if state else source
+        if state and lookback_days:
+            # A stored row may be newer than one that is read again.
+            changed = _changed_and_newer(spark, root, run, changed, keys, cursor)
+        _write_parts(changed, folder, keys, partition, derived)
+        delta = spark.read.schema(schema).parquet(folder)
+        if state:
+            if delta.isEmpty():
+                return state.version
+            if _repeated(delta, keys):
+                latest_per_key(delta.drop("_part"), keys, cursor).write.mode("overwrite").parquet(f"{root}/delta/_run={run}")
+                latest = spark.read.schema(source.schema).parquet(f"{root}/delta/_run={run}")
+                _write_parts(latest, folder, keys, partition, derived)
+                delta = spark.read.schema(schema).parquet(folder)
+        # Distinct partition values: as many as there are folders.
+        touched = {row[0] for row in delta.select("_part").distinct().collect()}
+        reached = cursor_of(delta, cursor).first()[0]
+        if state:
+            touched |= _keep_others(spark, root, run, delta, keys, partition, touched, derived)
     last_value = max(v for v in (reached, state.last_value if state else None) if v is not None)
-    line = spark.createDataFrame([(run, last_value, touched, source.schema.json())], PARTITION_LOG)
+    line = spark.createDataFrame([(run, last_value, sorted(touched), source.schema.json())], PARTITION_LOG)
     line.coalesce(1).write.mode("append").parquet(f"{root}/log")
     return run
 
 
+def _changed_and_newer(
+    spark: SparkSession, root: str, run: int, changed: DataFrame, keys: list[str], cursor: str
+) -> DataFrame:
+    """Of each changed key the latest row of the changes and the stored table."""
+    folder = f"{root}/delta/_run={run}"
+    latest_per_key(changed, keys, cursor).write.mode("overwrite").parquet(folder)
+    delta = spark.read.schema(changed.schema).parquet(folder)
+    same = same_keys(read_partitioned(spark, root), delta.select(*keys), keys, "left_semi").select(*changed.columns)
+    both = same.withColumn("_run", F.lit(0)).unionByName(delta.withColumn("_run", F.lit(1)))
+    return latest_per_key(both, keys, cursor, then="_run").drop("_run")
+
+
+def _repeated(rows: DataFrame, keys: list[str]) -> bool:
+    """Whether two rows may have the same key: keys no hash of which occurs twice do not repeat."""
+    hashes = rows.groupBy(F.xxhash64(*keys).alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+    return not hashes.filter("n > 1").isEmpty()
+
+
+# Bitmaps of row numbers, 4 KB for 32,768 rows of a file, that one pass over the stored rows broadcasts at most.
+BITMAPS_PER_PASS = 4_096
+# A partition is dealt out anew once it has this many files more than of this size.
+SPARE_FILES, FILE_BYTES = 2, 4_000_000
+
+
+def _keep_others(
+    spark: SparkSession,
+    root: str,
+    run: int,
+    delta: DataFrame,
+    keys: list[str],
+    partition: str,
+    touched: set[str],
+    derived: Mapping[str, Column] | None,
+) -> set[str]:
+    """Add the stored rows that a run leaves as they are to the partitions it touches; returns the partitions of those it replaces.
+
+    Keys are only shuffled to find the places (file and row number) of replaced rows. These are kept as bitmaps, a bit for each
+    stored row, so whole rows need no shuffle: each file is read and written without the rows marked, and a pass over files
+    broadcasts their bitmaps only. Partitions in many small files are dealt out anew."""
+    table, columns = _in_place(spark, root)
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index") + 1
+    # As many as files are read, which the scan lists anyway.
+    sizes = table.select("_part", path.alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    files = sizes.collect()
+    if not files:
+        return set()
+
+    def numbers(parts: Collection[str]) -> DataFrame:
+        found = [(x.path, i) for i, x in enumerate(files) if x._part in parts]
+        return F.broadcast(spark.createDataFrame(found, "_file string, _number int"))
+
+    everywhere = numbers({x._part for x in files})
+    stored = table.select(*keys, path.alias("_file"), row.alias("_row")).join(everywhere, "_file").select(*keys, "_number", "_row")
+    places = same_keys(stored, delta.select(*keys), keys, "left_semi")
+    bitmaps = (
+        places.select("_number", "_row", F.bitmap_bucket_number("_row").alias("_bucket"))
+        .repartition("_number", "_bucket")
+        .groupBy("_number", "_bucket")
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_bits"))
+    )
+    bitmaps.write.mode("overwrite").parquet(f"{root}/replaced/_run={run}")
+    bitmaps = spark.read.schema(bitmaps.schema).parquet(f"{root}/replaced/_run={run}")
+    marked: Counter[str] = Counter()
+    for found in bitmaps.groupBy("_number").agg(F.count(F.lit(1)).alias("n")).collect():
+        marked[files[found._number]._part] += found.n
+
+    of_part: dict[str, list[int]] = {}
+    for found in files:
+        if found._part in touched or found._part in marked:
+            of_part.setdefault(found._part, []).append(found.size)
+    for parts, scattered in _passes(of_part, marked):
+        table, columns = _in_place(spark, root, parts)
+        rows = table.select(*columns, "_part", path.alias("_at"), row.alias("_row"))
+        marks = bitmaps.join(numbers(parts), "_number").drop("_number")
+        few = sum(marked[part] for part in parts) <= BITMAPS_PER_PASS
+        same = (F.col("_at") == F.col("_file")) & (F.bitmap_bucket_number("_row") == F.col("_bucket"))
+        bit = F.bitmap_bit_position("_row")
+        byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        is_replaced = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+        kept = rows.join(F.broadcast(marks) if few else marks, same, "left").filter(~is_replaced)
+        if scattered:
+            _write_parts(kept.select(*columns), f"{root}/data/_run={run}", keys, partition, derived, "append")
+        else:
+            # The writer sorts a task's rows by folder; more of them than this would spill.
+            with setting(spark, "spark.sql.files.maxPartitionBytes", "32m"):
+                _write_placed(kept.select(*columns, "_part"), f"{root}/data/_run={run}", "append")
+    return set(marked)
+
+
+def _passes(of_part: Mapping[str, list[int]], marked: Mapping[str, int]) -> Iterator[tuple[list[str], bool]]:
+    """Partitions by passes, and whether those of a pass lie in many small files, from the sizes of each partition's files."""
+    for scattered in (False, True):
+        parts: list[str] = []
+        for part, sizes in sorted(of_part.items()):
+            if (len(sizes) > SPARE_FILES + sum(sizes) / FILE_BYTES) != scattered:
+                continue
+            if parts and sum(marked[p] for p in (*parts, part)) > BITMAPS_PER_PASS:
+                yield parts, scattered
+                parts = []
+            parts.append(part)
+        if parts:
+            yield parts, scattered
+
+
 def drop_replaced(spark: SparkSession, root: str) -> int:
     """Delete the partition folders of finished runs that later runs have replaced. Returns their number."""
     current = {(run, part) for run, parts in in_force(spark, root).items() for part in parts}

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
 from caremill.functions import privacy
 from caremill.plans import quality
+from caremill.plans.models import publish_tables
+from caremill.session import RELEASE
 from caremill.sources import landing, stored
 from caremill.sources.artifacts import artifact_columns, file_footers
 from caremill.streaming.sync import append_stream, arriving, merge_stream
+from compare import plan_of
 
 STAMP = "2024-05-01 00:00:00"
 
@@ -281,6 +286,102 @@ def test_first_build_dies_and_is_repeated(spark, root, monkeypatch):
     assert _refresh(spark, root, ("a", "1", 1, "m1")) == 1 and _facts(spark, root) == [("a", "1", "m1")]
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """The paths and plans of what is written."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    real, seen = DataFrameWriter.parquet, []
+
+    def write(self, path, *args, **more):
+        seen.append((path, plan_of(self._df)))
+        return real(self, path, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    return seen
+
+
+def test_refresh_shuffles_keys_and_changed_rows_only(spark, root, plans):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _refresh(spark, root, *[(str(i), "1", 1, f"m{i % 3}") for i in range(30)])
+        plans.clear()
+        assert _refresh(spark, root, ("4", "2", 2, "m1"), ("7", "2", 2, "m0"), ("31", "2", 2, "m2")) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    changes, places, kept, log = plans
+    assert "/data/_run=2" in changes[0] and "/replaced/_run=2" in places[0] and "/data/_run=2" in kept[0] and "/log" in log[0]
+    assert "hashpartitioning(coalesce(id" in places[1] and ",v#" not in places[1]
+    # Stored rows are read and written as they lie.
+    assert "hashpartitioning" not in kept[1] and "rangepartitioning" not in kept[1]
+    rows = {i: ("1", f"m{i % 3}") for i in range(30)} | {4: ("2", "m1"), 7: ("2", "m0"), 31: ("2", "m2")}
+    assert _facts(spark, root) == sorted([(str(i), *v) for i, v in rows.items()], key=str)
+
+
+@pytest.mark.parametrize(("per_pass", "spare", "lookback_days"), [(4_096, 2, 0), (1, 2, 0), (1, -1_000, 0), (1, 2, 40)])
+def test_refresh_equals_replacing_rows_one_by_one(spark, root, monkeypatch, per_pass, spare, lookback_days):
+    monkeypatch.setattr(stored, "BITMAPS_PER_PASS", per_pass)
+    monkeypatch.setattr(stored, "SPARE_FILES", spare)
+    random = Random(7)
+
+    def some(n, version, days):
+        return [
+            (random.choice([None, *map(str, range(60))]), f"{version}-{i}", random.choice(days), random.choice(["m1", "m2", "m3", None]))
+            for i in range(n)
+        ]
+
+    # Keys repeat, in the stored table and in the changes.
+    held, last = some(80, 0, range(1, 9)), 0
+    runs = [held, *(some(25, run, range(6 + 4 * run, 12 + 4 * run)) for run in (1, 2)), []]
+    for run, rows in enumerate(runs):
+        stored.refresh_partitions(_fact(spark, *rows), root, ["id"], "updated_at", "month", lookback_days)
+        since = last - lookback_days
+        changed = [r for r in rows if r[2] > since] if run else []
+        for key in {r[0] for r in changed}:
+            # By time, of equal ones what changed, then by the other columns, NULLs last.
+            best = max(
+                [(r[2], new, r[1], r[3] or "", r) for new, part in ((0, held if lookback_days else []), (1, changed)) for r in part if r[0] == key]
+            )[-1]
+            held = [r for r in held if r[0] != key] + [best]
+        last = max([last, *(r[2] for r in (changed or ([] if run else held)))])
+        assert _facts(spark, root) == sorted(((i, v, m) for i, v, _, m in held), key=str)
+
+
+def test_columns_that_follow_from_others_are_not_shuffled(spark, root, plans):
+    def refresh(*rows):
+        df = _fact(spark, *rows).withColumn("size", F.length("v"))
+        return stored.refresh_partitions(df, root, ["id"], "updated_at", "month", derived={"size": F.length("v")})
+
+    refresh(("a", "1", 1, "m1"), ("b", "22", 1, "m1"))
+    refresh(("b", "333", 2, "m2"), ("c", "4444", 2, None))
+    changes = next(plan for path, plan in plans if path.endswith("/data/_run=2"))
+    assert "length(v" in changes and "length(v" not in changes[changes.index("Exchange") :]
+    rows = [tuple(r) for r in stored.read_partitioned(spark, root).select("id", "v", "size").orderBy("id").collect()]
+    assert rows == [("a", "1", 1), ("b", "333", 3), ("c", "4444", 4)]
+
+
+def _shuffle_files(spark) -> int:
+    context = spark.sparkContext
+    files = context._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_no_shuffle_files_outlast_a_written_table(spark, root):
+    before = _shuffle_files(spark)
+    rows = spark.range(10_000).select((F.col("id") % 7).alias("k"), "id").repartition(5, "k")
+    written = publish_tables(spark, {("s", "t"): rows}, root)[("s", "t")]
+    for month in ("m1", "m2"):
+        df = rows.select(F.col("id").cast("string"), F.lit(month).alias("v"), F.lit(datetime(2024, 1, int(month[1]))).cast("timestamp_ntz").alias("updated_at"), F.lit(month).alias("month"))
+        stored.refresh_partitions(df, f"{root}/fact", ["id"], "updated_at", "month")
+    assert written.count() == 10_000 == stored.read_partitioned(spark, f"{root}/fact").count()
+    # Each count leaves one file, and files are removed in the background.
+    deadline = time.monotonic() + 20
+    while _shuffle_files(spark) > before + 8 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before + 8
+    assert spark.conf.get(RELEASE, None) is None
+
+
 def _taken(spark, root):
     return sorted(((r.id, r.plan, r.valid_to is None) for r in stored.read_snapshot(spark, root).collect()), key=str)
 
