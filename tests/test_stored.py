@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from caremill.functions import privacy
 from caremill.plans import quality
-from caremill.plans.models import publish_tables
+from caremill.plans.models import TABLES, Models, publish_tables
 from caremill.session import RELEASE
 from caremill.sources import landing, stored
 from caremill.sources.artifacts import artifact_columns, file_footers
+from caremill.sources.bindings import RawTables
 from caremill.streaming.sync import append_stream, arriving, merge_stream
 from compare import plan_of
 
@@ -366,20 +367,49 @@ def _shuffle_files(spark) -> int:
     return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
 
 
+def _left(spark, before: int) -> int:
+    """Shuffle files beyond those that were there; they are removed in the background."""
+    deadline = time.monotonic() + 20
+    while _shuffle_files(spark) > before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    return max(0, _shuffle_files(spark) - before)
+
+
 def test_no_shuffle_files_outlast_a_written_table(spark, root):
     before = _shuffle_files(spark)
     rows = spark.range(10_000).select((F.col("id") % 7).alias("k"), "id").repartition(5, "k")
     written = publish_tables(spark, {("s", "t"): rows}, root)[("s", "t")]
     for month in ("m1", "m2"):
-        df = rows.select(F.col("id").cast("string"), F.lit(month).alias("v"), F.lit(datetime(2024, 1, int(month[1]))).cast("timestamp_ntz").alias("updated_at"), F.lit(month).alias("month"))
+        at = F.lit(datetime(2024, 1, int(month[1]))).cast("timestamp_ntz")
+        df = rows.select(F.col("id").cast("string"), F.lit(month).alias("v"), at.alias("updated_at"), F.lit(month).alias("month"))
         stored.refresh_partitions(df, f"{root}/fact", ["id"], "updated_at", "month")
+    assert _left(spark, before) == 0 and spark.conf.get(RELEASE, None) is None
     assert written.count() == 10_000 == stored.read_partitioned(spark, f"{root}/fact").count()
-    # Each count leaves one file, and files are removed in the background.
-    deadline = time.monotonic() + 20
-    while _shuffle_files(spark) > before + 8 and time.monotonic() < deadline:
-        time.sleep(0.2)
-    assert _shuffle_files(spark) <= before + 8
-    assert spark.conf.get(RELEASE, None) is None
+
+
+def test_checked_tables_leave_no_shuffle_files(spark, root, folder):
+    before = _shuffle_files(spark)
+    m = Models(RawTables(spark, folder))
+    m.publish(root, ["clinical_patients", "encounters"])
+    tables = {"stg_ehr__patients": m.clinical_patients, "stg_ehr__encounters": m.encounters}
+    suspect = quality._repeated_hashes({t: quality.MODEL_CHECKS[t] for t in tables}, tables)
+    assert not suspect and _left(spark, before) == 0
+    for file in m.encounters.inputFiles():
+        ids = [r.encounter_id for r in spark.read.parquet(file).select("encounter_id").collect()]
+        assert ids == sorted(ids)
+
+
+def test_tables_of_visits_are_written_before_others_and_after_their_parents():
+    order = list(TABLES)
+    assert order.index("clinical_encounters") < order.index("patients")
+    parents = {
+        "payer_periods": ("payer_transitions",), "clinical_encounters": ("encounters", "clinical_patients", "payer_periods"),
+        "fct_appointments": ("appointments", "providers", "patients"), "dim_patients": ("patients", "touchpoints"),
+        "dim_providers": ("providers",), "subscription_history": ("subscription_events", "subscriptions"),
+        "fct_mrr_daily": ("subscriptions",), "fct_subscriptions": ("subscriptions", "subscription_events"),
+        "marketing": ("touchpoints", "patients", "subscriptions", "subscription_events"),
+    }
+    assert len(order) == 18 and all(order.index(p) < order.index(child) for child, some in parents.items() for p in some)
 
 
 def _taken(spark, root):
