@@ -277,6 +277,24 @@ def test_refresh_dies_between_any_two_steps_and_is_repeated(spark, root, monkeyp
     assert _facts(spark, root) == [("a", "2", "m1"), ("b", "1", "m1"), ("c", "2", "m1"), ("d", "2", "m3"), ("e", "2", "m2")]
 
 
+def test_refresh_dies_before_its_log_line_and_is_repeated(spark, root, monkeypatch):
+    _refresh(spark, root, ("a", "1", 1, "m1"), ("b", "1", 1, "m1"), ("c", "1", 1, "m2"))
+    before = _facts(spark, root)
+    with monkeypatch.context() as patch:
+        # After the changed rows, the places of those they replace, and the rows that stay.
+        _dying(patch, 3)
+        with pytest.raises(Died):
+            _refresh(spark, root, ("a", "2", 2, "m2"))
+    assert _facts(spark, root) == before
+    # Another month is touched when the run is repeated, by a session that replaces written folders one by one.
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert _refresh(spark, root, ("b", "2", 2, "m3")) == 2
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert _facts(spark, root) == [("a", "1", "m1"), ("b", "2", "m3"), ("c", "1", "m2")]
+
+
 def test_first_build_dies_and_is_repeated(spark, root, monkeypatch):
     for step in range(2):
         with monkeypatch.context() as patch:
